@@ -167,20 +167,18 @@ def row_frames(df: DataFrame, spec: SeriesSpec,
     rows back and ``ahead`` rows ahead.  Needs ``with_positions`` first
     (done here if missing).  ``_s_pos``/``_s_n`` stay available."""
     C = spec.chunk_rows
-    if back >= C or ahead >= C:
-        raise ValueError("frame longer than a chunk; raise chunk_rows")
     x = with_positions(df, spec)
-    c = F.floor(F.col(POS) / F.lit(C))
-    r = F.col(POS) - c * F.lit(C)
-    x = x.withColumn(CH, c)
-    if back == 0 and ahead == 0:
+    x = x.withColumn(CH, F.floor(F.col(POS) / F.lit(C)))
+    nb, na = math.ceil(back / C), math.ceil(ahead / C)
+    if nb == 0 and na == 0:
         x = x.withColumn(BK, F.col(CH))
     else:
+        pos, ch = F.col(POS), F.col(CH)
         targets = F.filter(
-            F.array(F.col(CH), F.col(CH) + F.lit(1), F.col(CH) - F.lit(1)),
-            lambda t: (t == F.col(CH))
-            | ((t > F.col(CH)) & (r >= F.lit(C - back)) & F.lit(back > 0))
-            | ((t < F.col(CH)) & (r < F.lit(ahead)) & (t >= F.lit(0))))
+            F.sequence(ch - F.lit(na), ch + F.lit(nb)),
+            lambda t: (t == ch)
+            | ((t > ch) & (pos >= t * F.lit(C) - F.lit(back)))
+            | ((t < ch) & (t >= F.lit(0)) & (pos < (t + F.lit(1)) * F.lit(C) + F.lit(ahead))))
         x = x.withColumn(BK, F.explode(targets))
     x = _apply(x, build, row_window(spec))
     out = x.where(F.col(BK) == F.col(CH))
