@@ -220,7 +220,8 @@ def trend20(df: DataFrame, features: list[str], window_min: float = 20,
 
 
 def generated_rolling(df: DataFrame, rain: str = "rainfall_mm", pressure: str = "pressure",
-                      humidity: str = "humidity", spec: SeriesSpec = DEFAULT) -> DataFrame:
+                      humidity: str = "humidity", fill: bool = True,
+                      spec: SeriesSpec = DEFAULT) -> DataFrame:
     """Training-set rolling columns, by rows: rain over the last 5 / 15
     readings incl. current (NULL if any missing, then 0); pressure drop
     15 rows (positive = drop) and humidity change 15 rows, else 0; mean of
@@ -241,6 +242,13 @@ def generated_rolling(df: DataFrame, rain: str = "rainfall_mm", pressure: str =
     x = S.row_frames(df, spec, build, back=15, ahead=30)
     pos, n = F.col(POS), F.col(NROWS)
     fc = F.when((pos >= 29) & (pos < n - 30) & (F.col("_nf") == 30), F.col("_mf"))
+    if not fill:
+        return (x.withColumn("rain_last_5min", F.col("_r5"))
+                 .withColumn("rain_last_15min", F.col("_r15"))
+                 .withColumn("pressure_drop_15min", -(F.col(pressure) - F.col("_p15")))
+                 .withColumn("humidity_change", F.col(humidity) - F.col("_h15"))
+                 .withColumn("forecast_30min", fc)
+                 .drop("_r5", "_r15", "_p15", "_h15", "_nf", "_mf"))
     return (x.withColumn("rain_last_5min", F.coalesce(F.col("_r5"), F.lit(0.0)))
              .withColumn("rain_last_15min", F.coalesce(F.col("_r15"), F.lit(0.0)))
              .withColumn("pressure_drop_15min",
