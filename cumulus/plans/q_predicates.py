@@ -206,10 +206,10 @@ def q_required(spark, sf):
 
 
 @query("aqi_band", section="2.2", sql=f"""
-WITH a AS (SELECT event_id, CAST(floor(value) AS INTEGER) AS aqi FROM events)
+WITH a AS (SELECT event_id, CAST(floor(value) AS INTEGER) AS aqi, CAST(floor(value) AS DOUBLE) AS v FROM events)
 SELECT event_id, aqi, CASE WHEN aqi <= 50 THEN 'Good' WHEN aqi <= 100 THEN 'Moderate' ELSE 'Unhealthy' END AS aqi_category,
-  round(aqi * 0.4, 1) AS pm25, round(aqi * 0.6, 1) AS pm10, round(aqi * 0.1, 1) AS so2,
-  round(aqi * 0.2, 1) AS no2, {r('least(aqi / 300.0 * 100, 100)')} AS bar_pct,
+  round(v * 0.4, 1) AS pm25, round(v * 0.6, 1) AS pm10, round(v * 0.1, 1) AS so2,
+  round(v * 0.2, 1) AS no2, {r('least(aqi / 300.0 * 100, 100)')} AS bar_pct,
   CASE WHEN aqi // 50 > 5 THEN 'High' ELSE 'Moderate' END AS uv_label
 FROM a""")
 def q_aqi(spark, sf):
@@ -217,12 +217,12 @@ def q_aqi(spark, sf):
     pollutant shares to one decimal, bar width and a UV label from the
     index's fiftieths."""
     ev = fx.table(spark, sf, "events").select("event_id", F.floor("value").cast("int").alias("aqi"))
-    v = F.col("aqi")
-    df = ev.select("event_id", "aqi", X.aqi_category(v).alias("aqi_category"),
+    v = F.col("aqi").cast("double")
+    df = ev.select("event_id", "aqi", X.aqi_category("aqi").alias("aqi_category"),
                    F.round(v * 0.4, 1).alias("pm25"), F.round(v * 0.6, 1).alias("pm10"),
                    F.round(v * 0.1, 1).alias("so2"), F.round(v * 0.2, 1).alias("no2"),
                    F.least(v / 300.0 * 100, F.lit(100.0)).alias("bar_pct"),
-                   X.uv_label(F.floor(v / 50)).alias("uv_label"))
+                   X.uv_label(F.floor(F.col("aqi") / 50)).alias("uv_label"))
     return finish(df)
 
 
