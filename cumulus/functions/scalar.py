@@ -87,7 +87,7 @@ def dew_point(temp, rh) -> tuple[Column, Column]:
 def compass8(angle_deg) -> Column:
     a = F.pmod(_c(angle_deg) + F.lit(360.0), F.lit(360.0))
     idx = F.floor(F.pmod(a + F.lit(22.5), F.lit(360.0)) / F.lit(45.0)).cast("int")
-    return F.element_at(F.array(*[F.lit(d) for d in COMPASS8]), idx + F.lit(1))
+    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(d) for d in COMPASS8]), idx + F.lit(1)))
 
 
 def clear_sky_expected(hour_frac) -> Column:
