@@ -238,6 +238,8 @@ def with_views(sql: str, *names: str) -> str:
         add(n)
     ctes = ",\n".join(f"{n} AS ({DUCK_VIEWS[n][1]})" for n in order)
     sql = sql.strip()
+    if sql.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{sql[15:]}"
     if sql.upper().startswith("WITH "):
         return f"WITH {ctes},\n{sql[5:]}"
     return f"WITH {ctes}\n{sql}"
