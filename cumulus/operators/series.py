@@ -208,8 +208,7 @@ def scans(df: DataFrame, spec: SeriesSpec, items: Iterable[Scan]) -> DataFrame:
     keys = _keys(spec)
     C = spec.chunk_rows
     x = with_positions(df, spec).withColumn(CH, F.floor(F.col(POS) / F.lit(C)))
-    for i, it in enumerate(items):
-        x = x.withColumn(f"_s_v{i}", it.value)
+    x = x.withColumns({f"_s_v{i}": it.value for i, it in enumerate(items)})
     w = Window.partitionBy(*keys, CH).orderBy(POS)
     local, aggs, carries = [], [], []
     wc = Window.partitionBy(*keys).orderBy(CH)
@@ -254,12 +253,25 @@ def scans(df: DataFrame, spec: SeriesSpec, items: Iterable[Scan]) -> DataFrame:
 # --------------------------------------------------------------------------
 # linear recurrences s_p = a_p * s_{p-1} + b_p  (s_{-1} = 0)
 
-_A, _BV = "_s_ra", "_s_rb"
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write ``df`` to the shared checkpoint folder named
+    by ``spark.checkpoint.dir`` (reliable, survives executor loss) and
+    continue from the written copy."""
+    from cumulus.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def linear_recurrence(df: DataFrame, spec: SeriesSpec, a: Column, b: Column,
                       name: str) -> DataFrame:
-    """Solve ``s_p = a_p*s_{p-1} + b_p`` along each series (``s_{-1} = 0``).
+    """Solve ``s_p = a_p*s_{p-1} + b_p`` along each series (``s_{-1} = 0``)."""
+    return linear_recurrences(df, spec, [(a, b, name)])
+
+
+def linear_recurrences(df: DataFrame, spec: SeriesSpec,
+                       items: list[tuple[Column, Column, str]]) -> DataFrame:
+    """Solve several recurrences ``s_p = a_p*s_{p-1} + b_p`` (``s_{-1} = 0``)
+    in one pass.
 
     Phase 1 solves each chunk from a zero state in a grouped pandas map and
     records the running product of ``a``; phase 2 composes the per-chunk
@@ -267,52 +279,59 @@ def linear_recurrence(df: DataFrame, spec: SeriesSpec, a: Column, b: Column,
     entering every chunk; phase 3 is ``s = A*s_in + s_local`` in SQL."""
     keys = _keys(spec)
     C = spec.chunk_rows
-    x = (with_positions(df, spec)
-         .withColumn(CH, F.floor(F.col(POS) / F.lit(C)))
-         .withColumn(_A, a.cast("double")).withColumn(_BV, b.cast("double")))
-    fields = list(x.schema.fields) + [T.StructField("_s_loc", T.DoubleType()),
-                                      T.StructField("_s_cum", T.DoubleType())]
-    out_schema = T.StructType(fields)
+    m = len(items)
+    x = with_positions(df, spec).withColumn(CH, F.floor(F.col(POS) / F.lit(C)).cast("long"))
+    cols = {}
+    for i, (a, b, _) in enumerate(items):
+        cols[f"_s_ra{i}"], cols[f"_s_rb{i}"] = a.cast("double"), b.cast("double")
+    x = x.withColumns(cols)
+    extra = []
+    for i in range(m):
+        extra += [T.StructField(f"_s_loc{i}", T.DoubleType()), T.StructField(f"_s_cum{i}", T.DoubleType())]
+    out_schema = T.StructType(list(x.schema.fields) + extra)
 
     def local(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(POS, kind="stable")
-        av = pdf[_A].to_numpy(dtype="float64", na_value=np.nan)
-        bv = pdf[_BV].to_numpy(dtype="float64", na_value=np.nan)
-        loc = np.empty(len(pdf))
-        cum = np.empty(len(pdf))
-        s, A = 0.0, 1.0
-        for i in range(len(pdf)):
-            s = av[i] * s + bv[i]
-            A = A * av[i]
-            loc[i] = s
-            cum[i] = A
-        pdf["_s_loc"] = loc
-        pdf["_s_cum"] = cum
+        for i in range(m):
+            av = pdf[f"_s_ra{i}"].to_numpy(dtype="float64", na_value=np.nan)
+            bv = pdf[f"_s_rb{i}"].to_numpy(dtype="float64", na_value=np.nan)
+            loc = np.empty(len(pdf))
+            cum = np.empty(len(pdf))
+            s_, A = 0.0, 1.0
+            for j in range(len(pdf)):
+                s_ = av[j] * s_ + bv[j]
+                A = A * av[j]
+                loc[j] = s_
+                cum[j] = A
+            pdf[f"_s_loc{i}"] = loc
+            pdf[f"_s_cum{i}"] = cum
         return pdf
 
     solved = x.groupBy(*keys, CH).applyInPandas(local, out_schema)
-    summ = (solved.groupBy(*keys, CH)
-            .agg(F.max_by(F.struct(F.col("_s_cum").alias("A"), F.col("_s_loc").alias("B")),
-                          F.col(POS)).alias("m")))
-    summ = summ.select(*keys, CH, F.col("m.A").alias("_s_A"), F.col("m.B").alias("_s_B"))
+    last = F.max_by(F.struct(*[F.col(f"_s_cum{i}").alias(f"A{i}") for i in range(m)],
+                             *[F.col(f"_s_loc{i}").alias(f"B{i}") for i in range(m)]), F.col(POS)).alias("m")
+    summ = solved.groupBy(*keys, CH).agg(last)
+    summ = summ.select(*keys, CH, *[F.col(f"m.A{i}").alias(f"_s_A{i}") for i in range(m)],
+                       *[F.col(f"m.B{i}").alias(f"_s_B{i}") for i in range(m)])
     key_schema = T.StructType([f for f in x.schema.fields if f.name in keys]
-                              + [T.StructField(CH, T.LongType()),
-                                 T.StructField("_s_in", T.DoubleType())])
+                              + [T.StructField(CH, T.LongType())]
+                              + [T.StructField(f"_s_in{i}", T.DoubleType()) for i in range(m)])
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(CH)
-        s = 0.0
-        ins = np.empty(len(pdf))
-        for i, (A, B) in enumerate(zip(pdf["_s_A"].to_numpy(), pdf["_s_B"].to_numpy())):
-            ins[i] = s
-            s = A * s + B
         out = pdf[keys + [CH]].copy()
-        out["_s_in"] = ins
+        for i in range(m):
+            s_ = 0.0
+            ins = np.empty(len(pdf))
+            for j, (A, B) in enumerate(zip(pdf[f"_s_A{i}"].to_numpy(), pdf[f"_s_B{i}"].to_numpy())):
+                ins[j] = s_
+                s_ = A * s_ + B
+            out[f"_s_in{i}"] = ins
         return out
 
-    entering = (summ.withColumn(CH, F.col(CH).cast("long"))
-                .groupBy(*keys).applyInPandas(compose, key_schema))
-    res = solved.withColumn(CH, F.col(CH).cast("long")).join(entering, on=keys + [CH], how="left")
-    res = res.withColumn(name, F.col("_s_cum") * F.coalesce(F.col("_s_in"), F.lit(0.0))
-                         + F.col("_s_loc"))
-    return res.drop("_s_loc", "_s_cum", "_s_in", _A, _BV, CH)
+    entering = summ.groupBy(*keys).applyInPandas(compose, key_schema)
+    res = solved.join(entering, on=keys + [CH], how="left")
+    res = res.withColumns({name: F.col(f"_s_cum{i}") * F.coalesce(F.col(f"_s_in{i}"), F.lit(0.0))
+                           + F.col(f"_s_loc{i}") for i, (_, _, name) in enumerate(items)})
+    drop = [f"_s_{k}{i}" for i in range(m) for k in ("loc", "cum", "in", "ra", "rb")]
+    return res.drop(*drop, CH)

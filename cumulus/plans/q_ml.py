@@ -1,3 +1,215 @@
-"""Registered queries."""
+"""Registered ML queries and batch scoring.  Model outputs
+are not SQL-expressible; they get the rows-only check plus unit tests."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cumulus.functions import scalar as X
+from cumulus.operators import ml as ML
+from cumulus.operators import joins as J
+from cumulus.operators import stats as ST
+from cumulus.plans import composed as C
+from cumulus.plans.common import finish, r
+from cumulus.plans.q_windows import KEY
+from cumulus.plans.registry import query
+from cumulus.session import checkpoint_dir
+from cumulus.sources import fixtures as fx
+
+A_FEATURES = ["rain_15", "rain_5", "pressure_drop_15", "humidity_change_15", "satellite_precip",
+              "forecast_30min", "rainfall_mm_smooth", "pressure_smooth", "humidity_smooth"]
+
+
+def _matrix(spark, sf):
+    return ML.training_matrix(fx.sensor_grid(spark, sf))
+
+
+@query("stratified_split", section="2.10")
+def q_split(spark, sf):
+    """25 % test share per class from a seeded hash of the keys."""
+    df = ML.stratified_split(_matrix(spark, sf), "cloudburst", 0.25, KEY)
+    return df.select(*KEY, "cloudburst", "is_test")
+
+
+@query("stratified_folds", section="2.10")
+def q_folds(spark, sf):
+    df = ML.stratified_folds(_matrix(spark, sf), "cloudburst", 3, KEY)
+    return df.select(*KEY, "cloudburst", "fold")
+
+
+_SCALE = ["rainfall_mm", "humidity", "pressure", "temperature"]
+
+
+@query("standard_scale", views=("sensor_grid",), section="2.10", sql="WITH s AS (SELECT "
+       + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _SCALE) + " FROM sensor_grid)\nSELECT location_id, timestamp, "
+       + ", ".join(f"{r(f'({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1.0 END')} AS {c}_scaled" for c in _SCALE)
+       + " FROM sensor_grid, s")
+def q_scale(spark, sf):
+    g = fx.sensor_grid(spark, sf)
+    params = ML.fit_standard_scaler(g, _SCALE)
+    return finish(ML.standard_scale(g, params, "_scaled"), cols=KEY + [f"{c}_scaled" for c in _SCALE])
+
+
+def _pipeline_a_split(spark, sf):
+    feats = C.pipeline_a_features(fx.sensor_dirty(spark, sf))
+    if "forecast_30min" not in feats.columns:
+        feats = feats.withColumn("forecast_30min", F.lit(0.0))
+    return ML.stratified_split(feats, "cloudburst", 0.25, KEY)
+
+
+@query("logreg", section="2.10")
+def q_logreg(spark, sf):
+    """Scaled pipeline-A features, L2 logistic regression (C = 1), test-row
+    probabilities."""
+    d = _pipeline_a_split(spark, sf)
+    train = d.where(~F.col("is_test"))
+    params = ML.fit_standard_scaler(train, A_FEATURES)
+    d = ML.standard_scale(d, params)
+    model = ML.logreg(d.where(~F.col("is_test")), A_FEATURES, "cloudburst")
+    out = model.transform(ML.assemble(d.where(F.col("is_test")), A_FEATURES))
+    return finish(out.select(*KEY, "cloudburst", ML.positive().alias("probability"),
+                             F.col("prediction").cast("int").alias("prediction")))
+
+
+def _rf(spark, sf, trees=200):
+    d = _pipeline_a_split(spark, sf)
+    model = ML.random_forest(d.where(~F.col("is_test")), A_FEATURES, "cloudburst", num_trees=trees)
+    return d, model
+
+
+@query("random_forest", section="2.10")
+def q_random_forest(spark, sf):
+    """Balanced-weight forest of 200 trees on pipeline-A features; test rows."""
+    d, model = _rf(spark, sf)
+    out = model.transform(ML.assemble(d.where(F.col("is_test")), A_FEATURES))
+    return finish(out.select(*KEY, "cloudburst", ML.positive().alias("probability"),
+                             F.col("prediction").cast("int").alias("prediction")))
+
+
+@query("feature_importance", section="2.4")
+def q_importance(spark, sf):
+    d, model = _rf(spark, sf)
+    return ML.feature_importance(model, A_FEATURES, spark)
+
+
+def _ensemble(spark, sf):
+    m = _matrix(spark, sf)
+    checkpoint_dir(spark)
+    m = m.checkpoint(eager=True)
+    return m, ML.calibrated_ensemble(m, C.FEATURES, "cloudburst", seeds=(42,), folds=3, rounds=20)
+
+
+@query("calibrated_ensemble", section="2.10")
+def q_calibrated(spark, sf):
+    """3 folds x 1 seed of boosted trees, each Platt-calibrated on its
+    held-out fold: one row per model (trees, calibration slope, intercept)."""
+    _, models = _ensemble(spark, sf)
+    rows = [(i, m.getNumTrees, float(c.coefficients[0]), float(c.intercept)) for i, (m, c) in enumerate(models)]
+    return spark.createDataFrame(rows, "model int, trees int, platt_a double, platt_b double")
+
+
+@query("platt_calibration", section="2.10")
+def q_platt(spark, sf):
+    """Boosted trees on two folds, sigmoid fitted on the third; calibrated
+    probabilities of the held-out rows."""
+    m = ML.stratified_folds(_matrix(spark, sf), "cloudburst", 3, KEY)
+    data = ML.assemble(m, C.FEATURES)
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import vector_to_array
+    gbt = GBTClassifier(featuresCol="features", labelCol="cloudburst", maxIter=20, stepSize=0.05, maxDepth=6,
+                        seed=42).fit(data.where(F.col("fold") != 0))
+    held = gbt.transform(data.where(F.col("fold") == 0)).withColumn(
+        "_margin", vector_to_array("rawPrediction").getItem(1))
+    cal = ML.platt(held, "_margin", "cloudburst", soft=True)
+    a, b = float(cal.coefficients[0]), float(cal.intercept)
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * F.col("_margin") + F.lit(b))))
+    return finish(held.select(*KEY, "cloudburst", p.alias("calibrated_probability")))
+
+
+@query("ensemble_mean", section="2.10", sql=f"""
+SELECT event_id, {r('(round(value / 500, 6) + round(value / 600, 6) + round(value / 700, 6)) / 3.0')} AS probability_mean
+FROM events""")
+def q_ensemble_mean(spark, sf):
+    """Row mean of several models' positive-class probabilities (three
+    given score columns per event)."""
+    ev = fx.table(spark, sf, "events")
+    cols = [F.round(F.col("value") / d, 6) for d in (500, 600, 700)]
+    mean = (cols[0] + cols[1] + cols[2]) / F.lit(3.0)
+    return finish(ev.select("event_id", mean.alias("probability_mean")))
+
+
+@query("score_batch", section="2.7b")
+def q_score_batch(spark, sf):
+    """Model input for every reading -> calibrated ensemble mean -> risk
+    level -> alert at the tuned best-F1 threshold -> rounded output."""
+    train, models = _ensemble(spark, sf)
+    g = fx.sensor_grid(spark, sf)
+    mi = C.model_input(g, J.fit_location_codes(g))
+    scored = ML.ensemble_predict(mi, models, C.FEATURES, "probability")
+    fit = ML.ensemble_predict(train, models, C.FEATURES, "probability")
+    best = ST.best_f1(ST.f1_sweep(fit, "probability", "cloudburst")).first()
+    thr = best["best_f1_threshold"] if best else X.DEFAULT_ALERT_THRESHOLD
+    return scored.select("timestamp", "location_id", F.round("probability", 6).alias("probability"),
+                         X.risk_level("probability").alias("risk_level"),
+                         X.alert_flag("probability", thr).alias("alert"),
+                         F.lit(float(thr)).alias("used_threshold"))
+
+
+@query("model_store", section="2.1")
+def q_model_store(spark, sf):
+    """Save the ensemble under the checkpoint folder, load it back and score
+    with the loaded models."""
+    train, models = _ensemble(spark, sf)
+    path = f"{checkpoint_dir(spark)}/models/ensemble_{abs(hash(sf)) % 10 ** 8}"
+    ML.save_models(models, path)
+    loaded = ML.load_models(path, len(models))
+    out = ML.ensemble_predict(train, loaded, C.FEATURES, "probability")
+    return out.select(*KEY, F.round("probability", 6).alias("probability"))
+
+
+@query("weather_class", section="2.10")
+def q_weather(spark, sf):
+    et = ML.edge_training(spark, sf)
+    model = ML.weather_class(et)
+    return ML.weather_predict(model, et).select("location_id", "timestamp", "class_id", "weather", "confidence")
+
+
+@query("isolation_forest", section="2.10")
+def q_isolation(spark, sf):
+    et = ML.edge_training(spark, sf)
+    out = ML.isolation_forest(et, ML.EDGE_FEATURES)
+    return out.select("location_id", "timestamp", "anomaly_score", "anomaly")
+
+
+@query("temp_forecast", section="2.10")
+def q_temp_forecast(spark, sf):
+    """Next temperature from the three previous ones (linear regression)."""
+    model, lags = ML.temp_forecast(fx.sensor_grid(spark, sf))
+    out = model.transform(ML.assemble(lags, ["lag_3", "lag_2", "lag_1"]))
+    return out.select(*KEY, F.round("prediction", 2).alias("next_temperature"))
+
+
+@query("bootstrap_augment", section="2.10")
+def q_bootstrap(spark, sf):
+    """Edge rows grown to twice their number with noisy resampled copies."""
+    et = ML.edge_training(spark, sf)
+    return ML.bootstrap_augment(et, min_rows=2 * et.count())
+
+
+@query("station_report", section="2.10")
+def q_station_report(spark, sf):
+    """One JSON document per reading: readings, weather class and
+    confidence, anomaly flag and score, next temperature, time."""
+    et = ML.edge_training(spark, sf)
+    wc = ML.weather_predict(ML.weather_class(et), et)
+    iso = ML.isolation_forest(et, ML.EDGE_FEATURES).select(*KEY, "anomaly", "anomaly_score")
+    model, lags = ML.temp_forecast(fx.sensor_grid(spark, sf))
+    nxt = model.transform(ML.assemble(lags, ["lag_3", "lag_2", "lag_1"])).select(
+        *KEY, F.round("prediction", 2).alias("next_temperature"))
+    j = wc.join(iso, KEY, "left").join(nxt, KEY, "left")
+    doc = F.to_json(F.struct(
+        F.struct("Temp", "Humidity", "Pressure").alias("readings"),
+        F.struct(F.col("weather").alias("class"), "confidence").alias("weather"),
+        F.struct("anomaly", F.col("anomaly_score").alias("score")).alias("anomaly"),
+        "next_temperature", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("time")))
+    return j.select(*KEY, doc.alias("report"))

@@ -221,7 +221,8 @@ def range_sql(src: str) -> str:
    NOT coalesce(humidity BETWEEN 0 AND 100, false) AS hum_err,
    NOT coalesce(pressure BETWEEN 800 AND 1100, false) AS press_err,
    coalesce(rain_mm < 0, false) AS rain_err,
-   NOT coalesce(wind_speed BETWEEN 0 AND 60, false) AS wind_err
+   NOT coalesce(wind_speed BETWEEN 0 AND 60, false) AS wind_err,
+   satellite_precip, cloudburst
  FROM {src}"""
 
 
@@ -290,7 +291,7 @@ def error_filters_sql(src: str) -> str:
     cols4 = ["temp_C", "humidity", "pressure", "wind_speed"]
     return f"""WITH a AS ({range_sql(src)}), s AS ({spike_sql('a')}), c AS ({spike_clean_sql('s')}),
 {stuck_sql('c', cols4)},
-e AS (SELECT location_id, timestamp, temp_C, humidity, pressure, rain_mm, wind_speed,
+e AS (SELECT location_id, timestamp, temp_C, humidity, pressure, rain_mm, wind_speed, satellite_precip, cloudburst,
   temp_err OR temp_C_spike OR temp_C_stuck AS temp_err,
   hum_err OR humidity_spike OR humidity_stuck AS hum_err,
   press_err OR pressure_spike OR pressure_stuck AS press_err,

@@ -66,3 +66,13 @@ def test_linear_recurrence_matches_loop(spark, dirty):
             exp.append((loc, t, round(s, 6)))
     got_rows = sorted((r[0], r[1], round(r[2], 6)) for r in got.collect())
     assert [(a, round(c, 6)) for a, _, c in got_rows] == [(a, c) for a, _, c in sorted(exp)]
+
+
+@pytest.mark.parametrize("k", [1, 3, 4])
+def test_interpolate_fill_one_pass(spark, dirty, k):
+    from cumulus.operators import fill as FL
+    cols = ["pressure", "temperature"]
+    d = dirty.withColumn("temperature", F.when(F.col("temperature") == 20.0, None).otherwise(F.col("temperature")))
+    a = S.drop_helpers(FL.interpolate_fill(d, cols, k, spec=TINY))
+    b = S.drop_helpers(FL.ffill_bfill(FL.interpolate_limit(d, cols, k, spec=BIG), cols, spec=BIG))
+    same(a, b, KEY + cols)
