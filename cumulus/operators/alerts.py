@@ -38,3 +38,157 @@ def rule_classifier(df: DataFrame, thresholds: dict[str, float] | None = None,
     for c in conds[1:]:
         cond = cond & c
     return df.withColumn(out, F.coalesce(cond, F.lit(False)).cast("int"))
+
+
+# ---------------------------------------------------------------- hysteresis
+#
+# Fixed service settings: hold 10 minutes after a trigger, clear only below
+# threshold - 0.05 once the hold has passed.
+HOLD_MINUTES = 10
+CLEAR_MARGIN = 0.05
+
+import numpy as np  # noqa: E402
+import pandas as pd  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from cumulus.operators import series as S  # noqa: E402
+from cumulus.operators.series import CH, DEFAULT, POS, SeriesSpec  # noqa: E402
+
+# state codes: 0 inactive, 1 pending (active, until in the future), 2 expired
+# (active, until passed: stays on until p < thr - margin)
+_INACTIVE, _PENDING, _EXPIRED = 0, 1, 2
+
+
+def _step(state, until, t, p, thr, margin, hold):
+    if state == _PENDING and t >= until:
+        state = _EXPIRED
+    if state == _EXPIRED:
+        if p < thr - margin:
+            return _INACTIVE, None
+        return _EXPIRED, until
+    if state == _PENDING:
+        if p >= thr:
+            return _PENDING, t + hold
+        return _PENDING, until
+    if p >= thr:
+        return _PENDING, t + hold
+    return _INACTIVE, None
+
+
+def _simulate(ts, ps, state, until, thr, margin, hold, out=None):
+    for i in range(len(ts)):
+        state, until = _step(state, until, ts[i], ps[i], thr, margin, hold)
+        if out is not None:
+            out[i] = 1 if state != _INACTIVE else 0
+    return state, until
+
+
+def alert_hysteresis(df: DataFrame, prob: str = "probability", threshold: float = 0.5,
+                     margin: float = CLEAR_MARGIN, hold_minutes: float = HOLD_MINUTES,
+                     spec: SeriesSpec = DEFAULT) -> DataFrame:
+    """Alert state per series in event time: inactive and p >= thr -> on
+    until now + hold; on and before the hold end: p >= thr extends it; on
+    after the hold end: off only when p < thr - margin (else stays on, hold
+    not extended).  Adds ``alert`` (0/1) and ``alert_until``.
+
+    Chunked exactly: each chunk is simulated from every class of entering
+    state (off, expired, or pending until u, where u only matters relative
+    to the row times within one hold of the chunk start), the classes'
+    outcomes are composed over the chunk summary, and each chunk is then
+    re-run from its true entering state."""
+    keys = list(spec.keys)
+    hold = int(hold_minutes * S.US_PER_MINUTE)
+    C = spec.chunk_rows
+    x = (S.with_positions(df, spec).withColumn(CH, F.floor(F.col(POS) / F.lit(C)).cast("long"))
+         .withColumn("_t", S.micros(spec.ts)).withColumn("_p", F.col(prob).cast("double")))
+    key_fields = [f for f in x.schema.fields if f.name in keys]
+    summ_schema = T.StructType(key_fields + [
+        T.StructField(CH, T.LongType()), T.StructField("t0", T.LongType()),
+        T.StructField("times", T.ArrayType(T.LongType())),           # row times within one hold of t0
+        T.StructField("out_state", T.ArrayType(T.IntegerType())),    # per class: final state
+        T.StructField("out_until", T.ArrayType(T.LongType())),       # per class: final until (or null)
+        T.StructField("out_pass", T.ArrayType(T.BooleanType()))])    # per class: until passed through
+
+    def outcomes(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(POS)
+        ts, ps = pdf["_t"].to_numpy(), pdf["_p"].to_numpy(dtype="float64")
+        t0 = int(ts[0])
+        near = [int(t) for t in ts if t < t0 + hold]
+        classes = [(_INACTIVE, None), (_EXPIRED, None)]
+        # pending until u in (near[k-1], near[k]] ; representative u = near[k];
+        # the last class (near[-1], t0 + hold] uses u = t0 + hold
+        reps = near[1:] + [t0 + hold]
+        classes += [(_PENDING, u) for u in reps]
+        st, un, pas = [], [], []
+        for s0, u0 in classes:
+            s1, u1, inc = s0, u0, s0 == _PENDING
+            for i in range(len(ts)):
+                t, p = int(ts[i]), ps[i]
+                if s1 == _PENDING and t >= u1:
+                    s1 = _EXPIRED
+                if s1 == _EXPIRED:
+                    if p < threshold - margin:
+                        s1, u1, inc = _INACTIVE, None, False
+                elif s1 == _PENDING:
+                    if p >= threshold:
+                        u1, inc = t + hold, False
+                elif p >= threshold:
+                    s1, u1, inc = _PENDING, t + hold, False
+            st.append(int(s1))
+            un.append(None if u1 is None else int(u1))
+            pas.append(bool(inc and s1 != _INACTIVE))
+        row = {k: pdf[k].iloc[0] for k in keys}
+        row.update({CH: int(pdf[CH].iloc[0]), "t0": t0, "times": near[1:], "out_state": st,
+                    "out_until": un, "out_pass": pas})
+        return pd.DataFrame([row])
+
+    cols = keys + [CH, POS, "_t", "_p"]
+    summ = x.select(*cols).groupBy(*keys, CH).applyInPandas(outcomes, summ_schema)
+    in_schema = T.StructType(key_fields + [T.StructField(CH, T.LongType()),
+                                           T.StructField("in_state", T.IntegerType()),
+                                           T.StructField("in_until", T.LongType())])
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(CH)
+        state, until = _INACTIVE, None
+        rows = []
+        for _, r in pdf.iterrows():
+            rows.append({**{k: r[k] for k in keys}, CH: int(r[CH]), "in_state": state,
+                         "in_until": until})
+            t0 = int(r["t0"])
+            if state == _INACTIVE:
+                k = 0
+            elif state == _EXPIRED or (state == _PENDING and until <= t0):
+                k = 1
+            else:
+                times = list(r["times"])
+                j = int(np.searchsorted(np.array(times, dtype=np.int64), until, side="left"))
+                k = 2 + j
+            s1, u1, pas = int(r["out_state"][k]), r["out_until"][k], bool(r["out_pass"][k])
+            state, until = s1, (until if pas else (None if u1 is None or pd.isna(u1) else int(u1)))
+        return pd.DataFrame(rows)
+
+    entering = summ.groupBy(*keys).applyInPandas(compose, in_schema)
+    y = x.join(entering, keys + [CH], "left")
+    out_schema = T.StructType(list(y.schema.fields) + [T.StructField("alert", T.IntegerType()),
+                                                       T.StructField("_until", T.LongType())])
+
+    def final(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(POS)
+        ts, ps = pdf["_t"].to_numpy(), pdf["_p"].to_numpy(dtype="float64")
+        state = int(pdf["in_state"].iloc[0])
+        u = pdf["in_until"].iloc[0]
+        until = None if pd.isna(u) else int(u)
+        alert = np.zeros(len(pdf), dtype=np.int32)
+        untils = []
+        for i in range(len(ts)):
+            state, until = _step(state, until, int(ts[i]), ps[i], threshold, margin, hold)
+            alert[i] = 1 if state != _INACTIVE else 0
+            untils.append(until if state != _INACTIVE else None)
+        pdf["alert"] = alert
+        pdf["_until"] = pd.array(untils, dtype="Int64")
+        return pdf
+
+    res = y.groupBy(*keys, CH).applyInPandas(final, out_schema)
+    res = res.withColumn("alert_until", F.timestamp_micros("_until"))
+    return res.drop("_t", "_p", "_until", "in_state", "in_until", CH)

@@ -253,7 +253,7 @@ def isolation_forest(df: DataFrame, cols: list[str], n_trees: int = 100, sample:
     kh = [F.col(k) for k in keys]
     pool = df.select(*keys, *cols).where(
         F.pmod(F.xxhash64(*kh, F.lit(seed)), F.lit(1_000_000_000)) < F.lit(int(pool_frac * 1e9)))
-    cand = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).cast("long"))
+    cand = pool.withColumn("tree", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_trees - 1).cast("long"))))
     h = F.pmod(F.xxhash64(*kh, F.col("tree"), F.lit(seed + 1)), F.lit(1_000_000_000))
     cand = cand.withColumn("_h", h).where(F.col("_h") < F.lit(int(per_tree * 1e9)))
     depth_limit = int(math.ceil(math.log2(max(psi, 2))))

@@ -15,14 +15,17 @@ WLOC = "PARTITION BY location_id ORDER BY epoch_us(timestamp)"
 MIN = 60_000_000
 
 
-@query("history_features_station", views=("sensor_grid",), section="2.5", sql=f"""
+_STATION_SQL = f"""
 SELECT location_id, timestamp,
   {r('coalesce(sum(coalesce(rainfall_mm, 0)) OVER (' + WLOC + f' RANGE BETWEEN {5*MIN} PRECEDING AND CURRENT ROW), 0)')} AS rain_last_5min,
   {r('coalesce(sum(coalesce(rainfall_mm, 0)) OVER (' + WLOC + f' RANGE BETWEEN {15*MIN} PRECEDING AND CURRENT ROW), 0)')} AS rain_last_15min,
   {r('coalesce(round(first_value(pressure) OVER (' + WLOC + f' RANGE BETWEEN {5*MIN} PRECEDING AND 1 PRECEDING) - pressure, 3), 0)')} AS pressure_drop_5min,
   {r('coalesce(round(first_value(pressure) OVER (' + WLOC + f' RANGE BETWEEN {15*MIN} PRECEDING AND 1 PRECEDING) - pressure, 3), 0)')} AS pressure_drop_15min,
   {r('coalesce(round(humidity - first_value(humidity) OVER (' + WLOC + f' RANGE BETWEEN {15*MIN} PRECEDING AND 1 PRECEDING), 3), 0)')} AS humidity_change
-FROM sensor_grid""")
+FROM sensor_grid"""
+
+
+@query("history_features_station", views=("sensor_grid",), section="2.5", sql=_STATION_SQL)
 def q_history_features_station(spark, sf):
     df = W.history_features_station(fx.sensor_grid(spark, sf))
     return finish(df, cols=KEY + ["rain_last_5min", "rain_last_15min", "pressure_drop_5min",
