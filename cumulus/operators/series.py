@@ -210,8 +210,10 @@ def scans(df: DataFrame, spec: SeriesSpec, items: Iterable[Scan]) -> DataFrame:
     x = with_positions(df, spec).withColumn(CH, F.floor(F.col(POS) / F.lit(C)))
     x = x.withColumns({f"_s_v{i}": it.value for i, it in enumerate(items)})
     w = Window.partitionBy(*keys, CH).orderBy(POS)
+    wd = Window.partitionBy(*keys, CH).orderBy(F.col(POS).desc())
     local, aggs, carries = [], [], []
     wc = Window.partitionBy(*keys).orderBy(CH)
+    wcd = Window.partitionBy(*keys).orderBy(F.col(CH).desc())
     for i, it in enumerate(items):
         v = F.col(f"_s_v{i}")
         if it.kind == "ffill":
@@ -222,12 +224,15 @@ def scans(df: DataFrame, spec: SeriesSpec, items: Iterable[Scan]) -> DataFrame:
             carries.append(F.last(f"_s_a{i}", ignorenulls=True)
                            .over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_s_k{i}"))
         elif it.kind == "bfill":
-            fr = w.rowsBetween(0 if it.inclusive else 1, Window.unboundedFollowing)
-            local.append(F.first(v, ignorenulls=True).over(fr).alias(f"_s_l{i}"))
+            # a backward scan is a forward scan in descending order: Spark
+            # grows an (unbounded preceding, n) frame incrementally, while an
+            # (n, unbounded following) frame is recomputed for every row
+            fr = wd.rowsBetween(Window.unboundedPreceding, 0 if it.inclusive else -1)
+            local.append(F.last(v, ignorenulls=True).over(fr).alias(f"_s_l{i}"))
             aggs.append(F.min(F.when(v.isNotNull(), F.struct(F.col(POS).alias("p"), v.alias("v"))))
                         .getField("v").alias(f"_s_a{i}"))
-            carries.append(F.first(f"_s_a{i}", ignorenulls=True)
-                           .over(wc.rowsBetween(1, Window.unboundedFollowing)).alias(f"_s_k{i}"))
+            carries.append(F.last(f"_s_a{i}", ignorenulls=True)
+                           .over(wcd.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_s_k{i}"))
         elif it.kind == "cumsum":
             fr = w.rowsBetween(Window.unboundedPreceding, 0 if it.inclusive else -1)
             local.append(F.coalesce(F.sum(v).over(fr), F.lit(0)).alias(f"_s_l{i}"))

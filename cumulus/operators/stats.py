@@ -263,7 +263,7 @@ def f1_sweep(df: DataFrame, score: str = "probability", label: str = "label",
     grid = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "i int, threshold double")
     # threshold i is reached by rows of bucket >= i + 1: reverse running sums
     j = grid.join(F.broadcast(cnt), F.col("_b") == F.col("i") + 1, "left")
-    rev = Window.orderBy("i").rowsBetween(0, Window.unboundedFollowing)
+    rev = Window.orderBy(F.col("i").desc()).rowsBetween(Window.unboundedPreceding, 0)
     out = j.select("i", "threshold",
                    F.sum(F.coalesce("pos", F.lit(0))).over(rev).alias("tp"),
                    F.sum(F.coalesce("neg", F.lit(0))).over(rev).alias("fp"))

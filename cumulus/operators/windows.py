@@ -11,12 +11,6 @@ from cumulus.operators import series as S
 from cumulus.operators.series import DEFAULT, POS, NROWS, US, Scan, SeriesSpec, minutes
 
 
-def _range(w: Window, lo_us: int | None, hi_us: int | None) -> Window:
-    lo = Window.unboundedPreceding if lo_us is None else lo_us
-    hi = Window.unboundedFollowing if hi_us is None else hi_us
-    return w.rangeBetween(lo, hi)
-
-
 def frame_bounds(w_us: int, closed: str) -> tuple[int, int]:
     """Micro-second range bounds for a window of width ``w_us`` ending at the
     current row.  ``right``: (t-w, t]; ``left``: [t-w, t); ``both``:
