@@ -282,3 +282,47 @@ def q_mpp(spark, sf):
     100 m per part size unit), 640 px, 90 degree field of view."""
     df = fx.table(spark, sf, "part")
     return finish(df.select("p_partkey", X.meters_per_pixel(640, 90.0, F.col("p_size") * 100.0).alias("m_per_px")))
+
+
+# ------------------------------------------------------------------ sky series (2.5)
+
+from cumulus.operators import windows as WN  # noqa: E402
+from cumulus.operators.series import DEFAULT as _DEF  # noqa: E402
+
+CAM = _DEF.with_(keys=("camera_id",))
+_WC = "PARTITION BY camera_id ORDER BY timestamp"
+
+
+@query("vertical_growth", views=("frames",), section="2.5", sql=f"""
+WITH b AS (SELECT *, lag(timestamp) OVER ({_WC}) AS pt, lag(brightness) OVER ({_WC}) AS pb,
+              lag(cloud_fraction) OVER ({_WC}) AS pc, lag(texture_index) OVER ({_WC}) AS ptx FROM frames),
+c AS (SELECT *, CASE WHEN (epoch_us(timestamp) - epoch_us(pt)) / 60000000.0 <= 0 THEN 0.001
+                     ELSE (epoch_us(timestamp) - epoch_us(pt)) / 60000000.0 END AS dt FROM b),
+d AS (SELECT *, (pb - brightness) / dt AS dr, (cloud_fraction - pc) / dt AS cg, (texture_index - ptx) / dt AS tg,
+        CASE WHEN brightness / 255.0 > 0.7 AND dark_fraction < 0.15 THEN 'THIN'
+             WHEN brightness / 255.0 > 0.4 AND brightness / 255.0 <= 0.7 AND dark_fraction < 0.40 THEN 'MEDIUM'
+             ELSE 'THICK_CONVECTIVE' END AS th FROM c)
+SELECT camera_id, timestamp, {r('dr')} AS darkening_rate, {r('cg')} AS cloud_area_growth_rate,
+  {r('tg')} AS texture_growth_rate,
+  CAST(coalesce(dr > 8 AND brightness < 170 AND cg > 0.08 AND cloud_fraction > 0.60 AND tg > 1.5
+                AND texture_index > 6 AND th = 'THICK_CONVECTIVE', false) AS INTEGER) AS vertical_growth_flag
+FROM d""")
+def q_vertical_growth(spark, sf):
+    df = SK.vertical_growth(fx.frames(spark, sf), CAM)
+    return finish(df, cols=["camera_id", "timestamp", "darkening_rate", "cloud_area_growth_rate",
+                            "texture_growth_rate", "vertical_growth_flag"])
+
+
+_TREND = ["brightness", "cloud_fraction", "dark_fraction", "texture_index"]
+_WT = f"(PARTITION BY camera_id ORDER BY epoch_us(timestamp) RANGE BETWEEN {20 * MIN} PRECEDING AND CURRENT ROW)"
+
+
+@query("trend20", views=("frames",), section="2.5", sql=f"""
+WITH b AS (SELECT *, (epoch_us(timestamp) - first_value(epoch_us(timestamp)) OVER {_WT}) / 60000000.0 AS dt,
+  {", ".join(f"first_value({c}) OVER {_WT} AS o_{c}" for c in _TREND)} FROM frames)
+SELECT camera_id, timestamp,
+  {", ".join(f"{r(f'CASE WHEN dt > 0 THEN ({c} - o_{c}) / dt END')} AS trend20_{c}_slope" for c in _TREND)}
+FROM b""")
+def q_trend20(spark, sf):
+    df = WN.trend20(fx.frames(spark, sf), _TREND, 20, spec=CAM)
+    return finish(df, cols=["camera_id", "timestamp"] + [f"trend20_{c}_slope" for c in _TREND])
