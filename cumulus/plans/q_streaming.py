@@ -53,7 +53,7 @@ def q_station_state(spark, sf):
     return finish(out.where(~F.col("late")).drop("late"))
 
 
-@query("alert_hysteresis", views=("scored",), section="2.9", sql=f"""
+_HYST_SQL = f"""
 WITH RECURSIVE b AS (SELECT location_id, timestamp, probability AS p,
     row_number() OVER (PARTITION BY location_id ORDER BY timestamp) AS rn FROM scored),
 h(location_id, rn, timestamp, active, until) AS (
@@ -67,15 +67,17 @@ h(location_id, rn, timestamp, active, until) AS (
                                   ELSE (CASE WHEN b.p >= {BEST_F1_THRESHOLD} THEN b.timestamp + INTERVAL 10 MINUTE ELSE h.until END) END)
          ELSE (CASE WHEN b.p >= {BEST_F1_THRESHOLD} THEN b.timestamp + INTERVAL 10 MINUTE END) END
   FROM h JOIN b ON b.location_id = h.location_id AND b.rn = h.rn + 1)
-SELECT location_id, timestamp, CAST(active AS INTEGER) AS alert, until AS alert_until FROM h""")
+SELECT location_id, timestamp, CAST(active AS INTEGER) AS alert, until AS alert_until FROM h"""
+
+
+@query("alert_hysteresis", views=("scored",), section="2.9", sql=_HYST_SQL)
 def q_hysteresis(spark, sf):
     """Batch hysteresis per station in event time (chunked, exact)."""
     df = AL.alert_hysteresis(fx.scored(spark, sf), "probability", BEST_F1_THRESHOLD)
     return df.select(*KEY, "alert", "alert_until")
 
 
-@query("alert_hysteresis_stream", views=("scored",), section="2.9",
-       sql=None)
+@query("alert_hysteresis_stream", views=("scored",), section="2.9", sql=_HYST_SQL)
 def q_hysteresis_stream(spark, sf):
     """The same state machine as keyed streaming state."""
     s = _stream_of(fx.scored(spark, sf).select(*KEY, "probability"), "scored")
