@@ -336,14 +336,22 @@ def savgol_11_2(df: DataFrame, cols: list[str], suffix: str = "_sg",
     coef = [-36, 9, 44, 69, 84, 89, 84, 69, 44, 9, -36]
     half = 5
 
-    def build(w):
+    def shifts(w):
+        out = []
+        for c in cols:
+            for k in range(-half, half + 1):
+                if k == 0:
+                    continue
+                f = F.lead(F.col(c), k).over(w) if k > 0 else F.lag(F.col(c), -k).over(w)
+                out.append(f.alias(f"_sh_{c}_{k + half}"))
+        return out
+
+    def combine(_w):
         pos, n = F.col(POS), F.col(NROWS)
         out = []
         for c in cols:
             def shifted(k):
-                if k == 0:
-                    return F.col(c)
-                return F.lead(F.col(c), k).over(w) if k > 0 else F.lag(F.col(c), -k).over(w)
+                return F.col(c) if k == 0 else F.col(f"_sh_{c}_{k + half}")
 
             def weighted(offsets):
                 s = None
@@ -362,7 +370,8 @@ def savgol_11_2(df: DataFrame, cols: list[str], suffix: str = "_sg",
             expr = expr.otherwise(weighted(list(range(-half, half + 1))))
             out.append(expr.alias(f"{c}{suffix}"))
         return out
-    return S.row_frames(df, spec, build, back=half, ahead=half)
+    x = S.row_frames(df, spec, [shifts, combine], back=half, ahead=half)
+    return x.drop(*[f"_sh_{c}_{k}" for c in cols for k in range(2 * half + 1) if k != half])
 
 
 def spike_flags(df: DataFrame, limits: dict[str, float], spec: SeriesSpec = DEFAULT) -> DataFrame:
@@ -421,3 +430,52 @@ def stuck_flags(df: DataFrame, cols: list[str], run_threshold: int = 20,
         x = (x.withColumn(f"{c}_stuck", bad)
               .withColumn(c, F.when(bad, F.lit(None).cast("double")).otherwise(F.col(c))))
     return x.drop(*[f"_{p}_{c}" for c in cols for p in ("d", "st", "nx")])
+
+
+def spike_and_stuck(df: DataFrame, limits: dict[str, float], stuck_cols: list[str], run_threshold: int = 20,
+                    spec: SeriesSpec = DEFAULT) -> DataFrame:
+    """``spike_flags`` then ``stuck_flags`` with one row frame reaching two
+    readings back: the previous reading's spike flag needs lag 2, so the
+    spike-cleaned previous value is known without a second pass.  Adds
+    ``<col>_spike`` and ``<col>_stuck`` and NULLs flagged values."""
+
+    def build(w):
+        out = []
+        for c in set(limits) | set(stuck_cols):
+            out += [F.lag(F.col(c), 1).over(w).alias(f"_l1_{c}"), F.lag(F.col(c), 2).over(w).alias(f"_l2_{c}")]
+        return out
+    x = S.row_frames(df, spec, build, back=2)
+    cols = {}
+    for c in set(limits) | set(stuck_cols):
+        cur, l1, l2 = F.col(c), F.col(f"_l1_{c}"), F.col(f"_l2_{c}")
+        if c in limits:
+            lim = F.lit(limits[c])
+            sp = F.coalesce(F.abs(cur - l1) > lim, F.lit(False))
+            sp_prev = F.coalesce(F.abs(l1 - l2) > lim, F.lit(False))
+            clean = F.when(sp, F.lit(None).cast("double")).otherwise(cur)
+            clean_prev = F.when(sp_prev, F.lit(None).cast("double")).otherwise(l1)
+            cols[f"{c}_spike"] = sp
+        else:
+            clean, clean_prev = cur, l1
+        cols[c] = clean
+        if c in stuck_cols:
+            cols[f"_d_{c}"] = F.coalesce(clean - clean_prev, F.lit(0.0)) == 0
+    x = x.withColumns(cols).drop(*[f"_l{k}_{c}" for c in set(limits) | set(stuck_cols) for k in (1, 2)])
+    items = []
+    for c in stuck_cols:
+        chg = F.when(~F.col(f"_d_{c}"), F.col(POS))
+        items.append(Scan(f"_st_{c}", chg, "ffill", inclusive=True))
+        items.append(Scan(f"_nx_{c}", chg, "bfill", inclusive=False))
+    x = S.scans(x, spec, items)
+    out = {}
+    for c in stuck_cols:
+        same = F.col(f"_d_{c}")
+        start = F.col(f"_st_{c}")
+        end = F.coalesce(F.col(f"_nx_{c}"), F.col(NROWS)) - F.lit(1)
+        count = F.when(start.isNull(), end + F.lit(2)).otherwise(end - start + F.lit(1))
+        bad = (count >= F.lit(run_threshold)) & same
+        out[f"{c}_stuck"] = bad
+        out[c] = F.when(bad, F.lit(None).cast("double")).otherwise(F.col(c))
+    x = x.withColumns({k: v for k, v in out.items() if k.endswith("_stuck")})
+    x = x.withColumns({k: v for k, v in out.items() if not k.endswith("_stuck")})
+    return x.drop(*[f"_{p}_{c}" for c in stuck_cols for p in ("d", "st", "nx")])

@@ -76,3 +76,12 @@ def test_interpolate_fill_one_pass(spark, dirty, k):
     a = S.drop_helpers(FL.interpolate_fill(d, cols, k, spec=TINY))
     b = S.drop_helpers(FL.ffill_bfill(FL.interpolate_limit(d, cols, k, spec=BIG), cols, spec=BIG))
     same(a, b, KEY + cols)
+
+
+def test_fused_spike_stuck_equals_two_steps(spark, dirty):
+    lim = {"pressure": 3.0, "temperature": 5.0}
+    cols = ["temperature", "pressure"]
+    a = S.drop_helpers(W.spike_and_stuck(dirty, lim, cols, spec=TINY))
+    b = S.drop_helpers(W.stuck_flags(W.spike_flags(dirty, lim, spec=BIG), cols, spec=BIG))
+    keep = KEY + cols + [f"{c}_spike" for c in lim] + [f"{c}_stuck" for c in cols]
+    same(a, b, keep)
