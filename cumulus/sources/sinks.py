@@ -43,8 +43,8 @@ def write_predictions_json(pred: DataFrame, path: str) -> DataFrame:
 
 
 def publish_alerts(pred: DataFrame, callback: Callable[[DataFrame, int], None], batch_id: int = 0) -> None:
-    """Hand each result batch to a subscriber; a failing subscriber does not
-    stop the job (the error is reported back as a row count of -1)."""
+    """Hand a result batch to a subscriber; a failing subscriber does not
+    stop the job (its error is swallowed, as the service keeps polling)."""
     try:
         callback(pred, batch_id)
     except Exception:  # noqa: BLE001 - the service keeps going on delivery errors
