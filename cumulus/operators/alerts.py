@@ -150,23 +150,29 @@ def alert_hysteresis(df: DataFrame, prob: str = "probability", threshold: float
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(CH)
+        chs, t0s = pdf[CH].to_numpy(), pdf["t0"].to_numpy()
+        times_l, st_l = pdf["times"].to_list(), pdf["out_state"].to_list()
+        un_l, pas_l = pdf["out_until"].to_list(), pdf["out_pass"].to_list()
         state, until = _INACTIVE, None
-        rows = []
-        for _, r in pdf.iterrows():
-            rows.append({**{k: r[k] for k in keys}, CH: int(r[CH]), "in_state": state,
-                         "in_until": until})
-            t0 = int(r["t0"])
+        in_state, in_until = np.empty(len(pdf), dtype=np.int32), []
+        for c in range(len(pdf)):
+            in_state[c] = state
+            in_until.append(until)
+            t0 = int(t0s[c])
             if state == _INACTIVE:
                 k = 0
             elif state == _EXPIRED or (state == _PENDING and until <= t0):
                 k = 1
             else:
-                times = list(r["times"])
-                j = int(np.searchsorted(np.array(times, dtype=np.int64), until, side="left"))
-                k = 2 + j
-            s1, u1, pas = int(r["out_state"][k]), r["out_until"][k], bool(r["out_pass"][k])
+                times = np.asarray(times_l[c], dtype=np.int64)
+                k = 2 + int(np.searchsorted(times, until, side="left"))
+            s1, u1, pas = int(st_l[c][k]), un_l[c][k], bool(pas_l[c][k])
             state, until = s1, (until if pas else (None if u1 is None or pd.isna(u1) else int(u1)))
-        return pd.DataFrame(rows)
+        out = pdf[keys].copy()
+        out[CH] = chs
+        out["in_state"] = in_state
+        out["in_until"] = pd.array(in_until, dtype="Int64")
+        return out
 
     entering = summ.groupBy(*keys).applyInPandas(compose, in_schema)
     y = x.join(entering, keys + [CH], "left")
