@@ -99,7 +99,9 @@ def alert_hysteresis(df: DataFrame, prob: str = "probability", threshold: float
     keys = list(spec.keys)
     hold = int(hold_minutes * S.US_PER_MINUTE)
     C = spec.chunk_rows
-    x = (S.with_positions(df, spec).withColumn(CH, F.floor(F.col(POS) / F.lit(C)).cast("long"))
+    xp = S.with_positions(df, spec)
+    chunk = F.col(S.PC) if S.PC in xp.columns else F.floor(F.col(POS) / F.lit(C))
+    x = (xp.withColumn(CH, chunk.cast("long"))
          .withColumn("_t", S.micros(spec.ts)).withColumn("_p", F.col(prob).cast("double")))
     key_fields = [f for f in x.schema.fields if f.name in keys]
     summ_schema = T.StructType(key_fields + [

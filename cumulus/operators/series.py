@@ -48,6 +48,7 @@ BK = "_s_b"       # bucket / chunk a (possibly halo) copy belongs to
 POS = "_s_pos"    # 0-based position in the series
 NROWS = "_s_n"    # series length
 CH = "_s_c"       # home position chunk
+PC = "_s_pc"      # time bucket of the positions step (a contiguous chunk)
 
 
 @dataclass(frozen=True)
@@ -152,7 +153,9 @@ def with_positions(df: DataFrame, spec: SeriesSpec = DEFAULT) -> DataFrame:
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
     wb = Window.partitionBy(*keys, TB).orderBy(US, tie)
     x = x.withColumn(POS, F.col("_s_off") + F.row_number().over(wb) - F.lit(1))
-    return x.drop("_s_off", TB, US)
+    # keep the bucket as ``_s_pc``: a contiguous chunk of the series that the
+    # data is already partitioned by, reused by scans and recurrences
+    return x.withColumnRenamed(TB, PC).drop("_s_off", US)
 
 
 def row_window(spec: SeriesSpec) -> Window:
@@ -207,7 +210,8 @@ def scans(df: DataFrame, spec: SeriesSpec, items: Iterable[Scan]) -> DataFrame:
     items = list(items)
     keys = _keys(spec)
     C = spec.chunk_rows
-    x = with_positions(df, spec).withColumn(CH, F.floor(F.col(POS) / F.lit(C)))
+    x = with_positions(df, spec)
+    x = x.withColumn(CH, F.col(PC) if PC in x.columns else F.floor(F.col(POS) / F.lit(C)))
     x = x.withColumns({f"_s_v{i}": it.value for i, it in enumerate(items)})
     w = Window.partitionBy(*keys, CH).orderBy(POS)
     wd = Window.partitionBy(*keys, CH).orderBy(F.col(POS).desc())
@@ -285,7 +289,8 @@ def linear_recurrences(df: DataFrame, spec: SeriesSpec,
     keys = _keys(spec)
     C = spec.chunk_rows
     m = len(items)
-    x = with_positions(df, spec).withColumn(CH, F.floor(F.col(POS) / F.lit(C)).cast("long"))
+    x = with_positions(df, spec)
+    x = x.withColumn(CH, (F.col(PC) if PC in x.columns else F.floor(F.col(POS) / F.lit(C))).cast("long"))
     cols = {}
     for i, (a, b, _) in enumerate(items):
         cols[f"_s_ra{i}"], cols[f"_s_rb{i}"] = a.cast("double"), b.cast("double")
