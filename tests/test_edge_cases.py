@@ -141,3 +141,15 @@ def test_kalman_gains_fixed_point():
     g = RC.kalman_gains()
     assert g[0] == 0.0 and abs(g[1] - 1.01 / 2.01) < 1e-15
     assert len(g) < 400 and abs(g[-1] - 0.0951249219725) < 1e-12
+
+
+@pytest.mark.parametrize("closed,expect", [
+    ("right", [1.0, 2.0, 4.0]),     # (t-5, t]
+    ("left", [0.0, 1.0, 0.0]),      # [t-5, t)
+    ("both", [1.0, 3.0, 4.0]),      # [t-5, t]
+    ("neither", [0.0, 0.0, 0.0]),   # (t-5, t)
+])
+def test_time_window_closedness(spark, closed, expect):
+    d = mk(spark, [("a", at(0), 1.0, 1.0, 1.0), ("a", at(5), 2.0, 1.0, 1.0), ("a", at(15), 4.0, 1.0, 1.0)])
+    got = W.rain_time_sums(d, windows=(5,), closed=closed)
+    assert [v or 0.0 for v in by_ts(got, "rain_5")] == expect
