@@ -4,10 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulus.llm import chat, dedup, mixing
+import public_tokenizers
+
+from cumulus.llm import chat, dedup, mixing, packing, pii, secrets
 from cumulus.llm.common import table
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    pieces, place = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+    digests = pieces.select("doc_id", "piece", "start", "length", "part", "nth",
+                            F.crc32("ids").alias("ids_crc32"))
+    return place(digests).drop("part", "nth")
+
+
+def _joined(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _span_digest(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
+    """Counts by base kind, digest of the base spans, and all spans as a string."""
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
+              for k in base]
+    of_base = F.filter("spans", lambda s: s["kind"].isin(*base))
+    return found.select("doc_id", *counts,
+                        F.sha2(_joined(of_base).cast("binary"), 256).alias("base_sha256"),
+                        _joined(F.col("spans")).alias("spans"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    return _span_digest(secrets.find_secrets(table(spark, sf_dir, "documents")),
+                        ("assign", "access", "hex"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents."""
     return dedup.exact_duplicates(table(spark, sf_dir, "documents"))
@@ -66,6 +100,12 @@ FROM e GROUP BY conv_id
 """
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return _span_digest(pii.find_pii(table(spark, sf_dir, "documents")),
+                        ("email", "ip", "card", "phone"))
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents: weights 5, 2, 1; 150 % of all words; 2 epochs at most."""
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -98,8 +138,11 @@ FROM e
 """
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_secret_scan": op2_secret_scan,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_chat_format": op4_chat_format,
+    "op7_pii": op7_pii,
     "op8_mix": op8_mix,
 }
 ORACLES = {"op3_exact_dedup": OP3_SQL, "op4_chat_format": OP4_SQL, "op8_mix": OP8_SQL}
