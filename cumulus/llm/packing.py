@@ -62,7 +62,8 @@ class WordTokenizer:
 
     def ids(self, text: str) -> np.ndarray:
         words = text.encode("utf-8", "replace").split()
-        if any(w not in self.known for w in (distinct := set(words))):
+        distinct = set(words)
+        if not distinct <= self.known.keys():
             self.learn(distinct)
         found = map(self.known.__getitem__, words)
         return np.fromiter(chain(chain.from_iterable(found), (END_ID,)), dtype=np.uint32)

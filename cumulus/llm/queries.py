@@ -28,8 +28,10 @@ def _joined(spans):
 
 def _span_digest(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
     """Counts by base kind, digest of the base spans, and all spans as a string."""
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-              for k in base]
+    def of(kind: str):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in base]
     of_base = F.filter("spans", lambda s: s["kind"].isin(*base))
     return found.select("doc_id", *counts,
                         F.sha2(_joined(of_base).cast("binary"), 256).alias("base_sha256"),
