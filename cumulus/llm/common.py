@@ -69,5 +69,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows of narrow per-key tables that are broadcast; above it they are shuffled.
+BROADCAST_ROWS = 10_000
+
+
+def checked_broadcast(df: DataFrame) -> DataFrame:
+    """df (a few narrow columns per key) to be joined: broadcast if it is small as
+    counted, else left to a shuffle join."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from cumulus.llm import chat, dedup, mixing, packing, pii, secrets
-from cumulus.llm.common import table
+from cumulus.llm import (chat, dedup, langid, mixing, packing, pii, quality_model, quality_rules,
+                         secrets)
+from cumulus.llm.common import stored, table
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -102,6 +103,22 @@ FROM e GROUP BY conv_id
 """
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by the weak-label model; no label is read."""
+    docs = table(spark, sf_dir, "documents")
+    weak, model = quality_model.fit(docs)
+    return quality_model.score(docs, weak, model)
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base metrics and verdicts of all documents; cutoffs from all labels."""
+    measures = stored(quality_rules.measured(table(spark, sf_dir, "documents")), "measures")
+    thresholds = quality_rules.calibrate(measures, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(measures, thresholds).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     return _span_digest(pii.find_pii(table(spark, sf_dir, "documents")),
@@ -139,12 +156,23 @@ SELECT doc_id, size, source_size, target,
 FROM e
 """
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents; learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(F.col("doc_id").isNotNull() & ~langid.held_out(F.col("doc_id"))))
+    pred = langid.identify(docs, model)
+    return pred.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_secret_scan": op2_secret_scan,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_chat_format": op4_chat_format,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_quality_rules": op6_quality_rules,
     "op7_pii": op7_pii,
     "op8_mix": op8_mix,
+    "op10_language_id": op10_language_id,
 }
 ORACLES = {"op3_exact_dedup": OP3_SQL, "op4_chat_format": OP4_SQL, "op8_mix": OP8_SQL}
