@@ -1,10 +1,12 @@
 """Quality classifier from weak labels.
 
 Overlapping heuristic labellers vote good, bad or nothing on each document.
-Expectation-maximisation estimates, without any label, how often each labeller is
-right on good and on bad documents and how many documents are good; it runs on
-the counts of vote patterns over all documents, of which there are at most
-3^labellers.  Each pattern's posterior then labels documents softly, and a
+Expectation-maximisation estimates, without any label, how often each labeller
+gives each vote to good and to bad documents (its accuracies) and how many
+documents are good; it runs on the counts of vote patterns over all documents, of
+which there are at most 3^labellers.  Most labellers know one kind of bad document
+only, so they don't agree on bad ones; what ties the class together is the belief
+that a bad vote is rarely wrong (on at most MOST_WRONG of the good documents).  Each pattern's posterior then labels documents softly, and a
 logistic model over hashed words and word shapes is trained on them, from a
 sample of at most FIT_ROWS documents drawn by hash.  Every document is scored,
 over its whole text.
@@ -34,10 +36,15 @@ BITS = 16
 FIT_ROWS = 12_000
 ROUNDS = 50
 KEEP = 0.5
+MOST_WRONG = 0.002
+#: A bin counts as much as that many equal words.
+BIN_WEIGHT = 200
+#: Length of every feature vector.
+LENGTH = 8.0
 
 #: labeller -> (value, bad beyond, good within); (low bad, low good, high good, high bad)
 LABELLERS: dict[str, tuple[str, tuple[float, float, float, float]]] = {
-    "length": ("n_words", (20, 60, 50_000, 1_000_000)),
+    "length": ("n_words", (2, 50, 50_000, 10_000_000)),
     "word_length": ("word_chars / n_words", (2.0, 3.0, 10.0, 15.0)),
     "symbols": ("n_symbols / n_words", (-1, 0, 0.02, 0.2)),
     "capitals": ("n_upper / n_letters", (-1, 0, 0.15, 0.5)),
@@ -77,29 +84,29 @@ def unpack(codes: np.ndarray) -> np.ndarray:
 @dataclass
 class WeakLabels:
     prior: float
-    accuracy: np.ndarray            # labeller x class (bad, good): P(vote is right | votes)
+    #: labeller x class (bad, good) x vote: P(vote | class)
+    accuracy: np.ndarray
     posterior: dict[int, float]     # pattern -> P(good)
 
 
 def estimate(counts: dict[int, int], rounds: int = ROUNDS) -> WeakLabels:
-    """EM over vote patterns; starts at the majority of votes."""
+    """EM over vote patterns; starts from doubt where any labeller votes bad."""
     codes = np.array(sorted(counts), dtype=np.int64)
     n = np.array([counts[c] for c in codes], dtype=float)
     v = unpack(codes)
-    good, bad = v == GOOD, v == BAD
-    p = (good.sum(1) + 1.0) / (good.sum(1) + bad.sum(1) + 2.0)
-    prior, right = 0.5, np.full((len(LABELLERS), 2), 0.7)
-    for _ in range(rounds):
-        w1, w0 = n * p, n * (1 - p)
-        prior = float(np.clip(w1.sum() / max(1.0, n.sum()), 0.01, 0.99))
-        # a count of one on each side keeps accuracies off 0 and 1
-        right[:, 1] = (w1 @ good + 1) / (w1 @ (good | bad) + 2)
-        right[:, 0] = (w0 @ bad + 1) / (w0 @ (good | bad) + 2)
-        right = np.clip(right, 0.5, 0.999)  # a labeller is at least as good as a coin
-        like1 = np.log(prior) + good @ np.log(right[:, 1]) + bad @ np.log(1 - right[:, 1])
-        like0 = np.log(1 - prior) + bad @ np.log(right[:, 0]) + good @ np.log(1 - right[:, 0])
-        p = 1 / (1 + np.exp(np.clip(like0 - like1, -700, 700)))
-    return WeakLabels(prior, right, dict(zip(codes.tolist(), p.tolist())))
+    one_hot = v[:, :, None] == np.arange(3)
+    p = np.where((v == BAD).any(axis=1), 0.1, 0.95)
+    prior, accuracy = 0.9, np.full((len(LABELLERS), 2, 3), 1 / 3)
+    for _ in range(rounds if len(codes) else 0):
+        prior = float(np.clip((n * p).sum() / n.sum(), 0.01, 0.99))
+        for y, w in enumerate((n * (1 - p), n * p)):
+            # one imaginary document spread over the votes keeps all of them possible
+            accuracy[:, y, :] = (np.einsum("i,ijk->jk", w, one_hot) + 1 / 3) / (w.sum() + 1)
+        accuracy[:, 1, BAD] = np.minimum(accuracy[:, 1, BAD], MOST_WRONG)
+        like = np.einsum("ijk,jyk->iy", one_hot, np.log(accuracy))
+        odds = like[:, 1] + np.log(prior) - like[:, 0] - np.log(1 - prior)
+        p = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+    return WeakLabels(prior, accuracy, dict(zip(codes.tolist(), p.tolist())))
 
 
 SHAPES = [(re.compile(rb"[A-Z]+"), b"A"), (re.compile(rb"[a-z\x80-\xff]+"), b"a"), (re.compile(rb"[0-9]+"), b"0")]
@@ -111,8 +118,17 @@ def shape(word: bytes) -> bytes:
     return word[:8]
 
 
+def bins(text: str) -> Iterator[bytes]:
+    """The labellers' ratios, in coarse steps, as features."""
+    m = dict(zip(NAMES, measure(text)))
+    for name, (ratio, _) in LABELLERS.items():
+        a, _, b = ratio.partition(" / ")
+        v = (m[a] / m[b] if m[b] else -1.0) if b else float(np.log2(1 + m[a]))
+        yield f"{name} {int(min(v, 30.0) * (1 if b == 'n_words' and a == 'word_chars' or not b else 10))}".encode()
+
+
 class Features:
-    """Hashed words and word shapes with logarithmic counts, scaled to length 1."""
+    """Hashed words, word shapes and bins: logarithmic counts, scaled to one length."""
 
     def __init__(self):
         self.known: dict[bytes, tuple[int, int]] = {}
@@ -133,10 +149,12 @@ class Features:
             a, b = self.slots(w)
             count[a] += c
             count[b] += c
+        for name in bins(text):
+            count[zlib.crc32(name) & ((1 << BITS) - 1)] += BIN_WEIGHT
         index = np.fromiter(count.keys(), dtype=np.int64, count=len(count))
         order = np.argsort(index)
         value = np.log1p(np.fromiter(count.values(), dtype=float, count=len(count)))[order]
-        return index[order], value / max(1e-9, np.sqrt((value ** 2).sum()))
+        return index[order], value * (LENGTH / max(1e-9, np.sqrt((value ** 2).sum())))
 
 
 @dataclass
@@ -186,7 +204,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return weak, Linear(np.zeros(1 << BITS), float(np.log(weak.prior / (1 - weak.prior))))
     vector = F.udf(lambda i, v: Vectors.sparse(1 << BITS, i, v), VectorUDT())
     train = sample.select(vector("index", "value").alias("features"), "label", "weight")
-    model = LogisticRegression(weightCol="weight", maxIter=25, regParam=1e-4, standardization=False,
+    model = LogisticRegression(weightCol="weight", maxIter=60, regParam=1e-5, standardization=False,
                                tol=1e-5).fit(train)
     return weak, Linear(model.coefficients.toArray(), float(model.intercept))
 

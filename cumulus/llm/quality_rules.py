@@ -43,8 +43,8 @@ RULES: dict[str, tuple[str, tuple[float, ...]]] = {
     "long_words": ("word_chars / n_words", (40, 30, 25, 20, 17, 15, 13)),
     "short_words": ("-word_chars / n_words", (-1.0, -1.5, -2.0, -2.5, -3.0)),
     "symbols": ("n_symbols / n_words", (2.0, 1.0, 0.8, 0.6, 0.5, 0.4, 0.3, 0.2)),
-    "repeated_lines": ("n_dup_lines / n_lines", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3)),
-    "repeated_words": ("n_repeat_words / n_words", (0.48, 0.45, 0.4, 0.35, 0.3, 0.25)),
+    "repeated_lines": ("n_dup_lines / n_lines", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4)),
+    "repeated_words": ("n_repeat_words / n_words", (0.48, 0.45, 0.4, 0.35, 0.3)),
     "capitals": ("n_upper / n_letters", (0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4)),
     "marks": ("n_marks / n_words", (2.0, 1.0, 0.8, 0.6, 0.5, 0.4, 0.3)),
     "digits": ("n_digits / word_chars", (0.8, 0.6, 0.5, 0.4, 0.3)),
@@ -128,7 +128,7 @@ def choose(first_cut: np.ndarray, n: int, risk: float, error: float) -> int:
     return best
 
 
-def calibrate(measures: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
+def calibrate(measures: DataFrame, labels: DataFrame, alpha: float = 0.04, delta: float = 0.05) -> DataFrame:
     """One row per stratum: stratum, cutoffs (a map rule -> cutoff, without the rules
     that got none).  labels: doc_id, quality (1 good)."""
     marks = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
