@@ -59,7 +59,7 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     what a task computed once stays as it is when executors are lost."""
     spark = df.sparkSession
     path = scratch_path(spark, what)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -49,8 +49,8 @@ LABELLERS: dict[str, tuple[str, tuple[float, float, float, float]]] = {
     "symbols": ("n_symbols / n_words", (-1, 0, 0.02, 0.2)),
     "capitals": ("n_upper / n_letters", (-1, 0, 0.15, 0.5)),
     "marks": ("n_marks / n_words", (-1, 0, 0.1, 0.4)),
-    "repeated_words": ("n_repeat_words / n_words", (-1, 0, 0.2, 0.4)),
-    "repeated_lines": ("n_dup_lines / n_lines", (-1, 0, 0.1, 0.4)),
+    "repeated_words": ("n_repeat_words / n_words", (-1, 0, 0.2, 0.6)),
+    "repeated_lines": ("n_dup_lines / n_lines", (-1, 0, 0.1, 0.75)),
     "digits": ("n_digits / word_chars", (-1, 0, 0.1, 0.4)),
 }
 BAD, NONE, GOOD = 0, 1, 2

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from cumulus.llm import (chat, dedup, langid, mixing, packing, pii, quality_model, quality_rules,
+from cumulus.llm import (chat, dedup, jaccard, langid, mixing, packing, pii, quality_model, quality_rules,
                          secrets)
 from cumulus.llm.common import stored, table
 
@@ -156,6 +156,11 @@ SELECT doc_id, size, source_size, target,
 FROM e
 """
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose 4-word n-grams are 85 % the same."""
+    return jaccard.similar_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents; learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -173,6 +178,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_pii": op7_pii,
     "op8_mix": op8_mix,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_language_id": op10_language_id,
 }
 ORACLES = {"op3_exact_dedup": OP3_SQL, "op4_chat_format": OP4_SQL, "op8_mix": OP8_SQL}
