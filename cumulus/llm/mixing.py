@@ -87,19 +87,20 @@ def mix(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, m
     from_rest = F.greatest(F.lit(0).cast("long"),
                            F.least(F.col("size"), rest - F.col(ahead) - F.col(part)))
     out = placed.withColumn("taken", epochs * F.col("size") + from_rest)
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
+    kept = [c for c in docs.columns if c.lower() not in ("size", "source_size", "target", "taken")]
     return out.select(*kept, "size", "source_size", "target", "taken")
 
 
-def mixed_documents(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source", **options) -> DataFrame:
     """The mix as documents: each row as often as it is taken whole; a row taken in
-    part comes once with its first words (joined by blanks).  Other columns stay."""
-    size, taken, times, nth = "size", "taken", *fresh(docs, "times", "nth")
-    mixed = mix(docs, text_col=text_col, **options).where(F.col(taken) > 0)
-    whole = F.floor(F.col(taken) / F.col(size))
-    copies = mixed.withColumn(times, F.ceil(F.col(taken) / F.col(size))).withColumn(
-        nth, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
-    words = F.array_remove(F.split(F.translate(F.col(text_col), "\t\n\x0b\x0c\r", "     "), " "), "")
-    head = F.array_join(F.slice(words, F.lit(1), (F.col(taken) % F.col(size)).cast("int")), " ")
-    out = copies.withColumn(text_col, F.when(F.col(nth) <= whole, F.col(text_col)).otherwise(head))
-    return out.select(*[c for c in docs.columns])
+    part comes once with its first words (joined by blanks).  Columns stay as they are."""
+    slim = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"),
+                       F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    mixed = mix(slim, **options).where("taken > 0")
+    copies = mixed.withColumn("nth", F.explode(F.sequence(
+        F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))))
+    words = F.array_remove(F.split(F.translate("text", "\t\n\x0b\x0c\r", "     "), " "), "")
+    head = F.array_join(F.slice(words, F.lit(1), (F.col("taken") % F.col("size")).cast("int")), " ")
+    text = F.when(F.col("nth") <= F.floor(F.col("taken") / F.col("size")), F.col("text")).otherwise(head)
+    return copies.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
