@@ -33,6 +33,16 @@ def text_of(value) -> str:
     return value if isinstance(value, str) else ""
 
 
+def for_python(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
+    """doc_id (as text: pandas would turn a column with NULLs into doubles), text and
+    more columns for a map over pandas batches; ids come back through from_python."""
+    return docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"), *more)
+
+
+def from_python(mapped: DataFrame) -> DataFrame:
+    return mapped.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def fresh(df: DataFrame, *wanted: str) -> list[str]:
     """Column names that df doesn't have (compared without case), near the wanted ones."""
     have = {c.lower() for c in df.columns}

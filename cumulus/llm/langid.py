@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cumulus.llm.common import checked_broadcast, cut, text_of
+from cumulus.llm.common import checked_broadcast, cut, for_python, from_python, text_of
 
 FIT_PER_LANG = 4000
 MOST_WORDS = 100_000
@@ -168,8 +168,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         scorer = Scorer(shared.value)
         for b in batches:
             got = [scorer(text_of(t)) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "lang_pred": [x[0] for x in got],
+            yield pd.DataFrame({"doc_id": b["doc_id"], "lang_pred": [x[0] for x in got],
                                 "score": [x[1] for x in got]})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, lang_pred string, score double")
+    return from_python(for_python(docs, id_col, text_col).mapInPandas(
+        run, "doc_id string, lang_pred string, score double"))

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cumulus.llm.common import stored, text_of
+from cumulus.llm.common import for_python, from_python, stored, text_of
 
 END_ID = 1
 MAX_TOKENS = 4096
@@ -45,7 +45,7 @@ PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 #: Texts whose words are looked up together.
 TEXTS_AT_ONCE = 256
 
-PIECE = "doc_id long, piece int, start long, length long, ids binary, part long, nth long"
+PIECE = "doc_id string, piece int, start long, length long, ids binary, part long, nth long"
 
 
 class WordTokenizer:
@@ -136,12 +136,9 @@ def tokenize(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,
                     out.append((doc_id, piece, start, len(own), own.tobytes(), part,
                                 seen[len(own)]))
                     seen[len(own)] += 1
-            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids", "part", "nth"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids", "part", "nth"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, PIECE)
+    return from_python(for_python(docs, id_col, text_col).mapInPandas(run, PIECE))
 
 
 @dataclass

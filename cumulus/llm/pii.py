@@ -20,9 +20,9 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from cumulus.llm.common import text_of
+from cumulus.llm.common import for_python, from_python, text_of
 
 KINDS = ("email", "ip", "card", "phone", "iban", "account", "login")
 
@@ -222,7 +222,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for b in batches:
             spans = [[{"kind": k, "start": a, "end": e} for k, a, e in finder.spans(text_of(t))]
                      for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "spans": spans})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "spans": spans})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, spans array<struct<kind string, start long, end long>>")
+    return from_python(for_python(docs, id_col, text_col).mapInPandas(
+        run, "doc_id string, spans array<struct<kind string, start long, end long>>"))

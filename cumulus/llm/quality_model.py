@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from cumulus.llm.common import stored, text_of
+from cumulus.llm.common import for_python, from_python, stored, text_of
 from cumulus.llm.quality_rules import NAMES, measure
 
 BITS = 16
@@ -221,9 +221,9 @@ def score(docs: DataFrame, weak: WeakLabels, model: Linear, id_col: str = "doc_i
             texts = [text_of(t) for t in b["text"]]
             got = [model(*features(t)) for t in texts]
             yield pd.DataFrame({
-                "doc_id": b["doc_id"].astype("Int64"),
+                "doc_id": b["doc_id"],
                 "posterior": [weak.posterior.get(pattern_of(t), weak.prior) for t in texts],
                 "score": got, "kept": [g >= keep for g in got]})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, posterior double, score double, kept boolean")
+    return from_python(for_python(docs, id_col, text_col).mapInPandas(
+        run, "doc_id string, posterior double, score double, kept boolean"))
