@@ -47,7 +47,7 @@ def held_out(id_col: Column) -> Column:
 
 
 def grams(word: str, n: int) -> list[str]:
-    marked = f"^{word}$"
+    marked = f"^{word}$" if n > 1 else word
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 

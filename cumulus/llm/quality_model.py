@@ -37,6 +37,8 @@ FIT_ROWS = 12_000
 ROUNDS = 50
 KEEP = 0.5
 MOST_WRONG = 0.002
+#: Belief in documents that no labeller votes against.
+UNDOUBTED = 0.95
 #: A bin counts as much as that many equal words.
 BIN_WEIGHT = 200
 #: Length of every feature vector.
@@ -90,12 +92,14 @@ class WeakLabels:
 
 
 def estimate(counts: dict[int, int], rounds: int = ROUNDS) -> WeakLabels:
-    """EM over vote patterns; starts from doubt where any labeller votes bad."""
+    """EM over vote patterns; starts from doubt where any labeller votes bad.  Patterns
+    without a bad vote keep their belief: no labeller knows anything against them."""
     codes = np.array(sorted(counts), dtype=np.int64)
     n = np.array([counts[c] for c in codes], dtype=float)
     v = unpack(codes)
     one_hot = v[:, :, None] == np.arange(3)
-    p = np.where((v == BAD).any(axis=1), 0.1, 0.95)
+    doubt = (v == BAD).any(axis=1)
+    p = np.where(doubt, 0.1, UNDOUBTED)
     prior, accuracy = 0.9, np.full((len(LABELLERS), 2, 3), 1 / 3)
     for _ in range(rounds if len(codes) else 0):
         prior = float(np.clip((n * p).sum() / n.sum(), 0.01, 0.99))
@@ -105,7 +109,7 @@ def estimate(counts: dict[int, int], rounds: int = ROUNDS) -> WeakLabels:
         accuracy[:, 1, BAD] = np.minimum(accuracy[:, 1, BAD], MOST_WRONG)
         like = np.einsum("ijk,jyk->iy", one_hot, np.log(accuracy))
         odds = like[:, 1] + np.log(prior) - like[:, 0] - np.log(1 - prior)
-        p = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+        p = np.where(doubt, 1 / (1 + np.exp(-np.clip(odds, -700, 700))), UNDOUBTED)
     return WeakLabels(prior, accuracy, dict(zip(codes.tolist(), p.tolist())))
 
 
