@@ -100,12 +100,16 @@ def hour_fraction(ts) -> Column:
     return F.hour(_c(ts)) + F.minute(_c(ts)) / F.lit(60.0)
 
 
+# Fixed bands: name, brightness / 255 above and up to, dark fraction below.
+THICKNESS = (("THIN", 0.7, float("inf"), 0.15), ("MEDIUM", 0.4, 0.7, 0.40))
+THICK = "THICK_CONVECTIVE"
+
+
 def thickness_class(brightness, dark_fraction) -> Column:
     bn = _c(brightness) / F.lit(255.0)
     d = _c(dark_fraction)
-    return (F.when((bn > 0.7) & (d < 0.15), F.lit("THIN"))
-             .when((bn > 0.4) & (bn <= 0.7) & (d < 0.40), F.lit("MEDIUM"))
-             .otherwise(F.lit("THICK_CONVECTIVE")))
+    found = [F.when((bn > above) & (bn <= upto) & (d < dark), F.lit(name)) for name, above, upto, dark in THICKNESS]
+    return F.coalesce(*found, F.lit(THICK))
 
 
 def meters_per_pixel(width_px, hfov_deg, cloud_height_m) -> Column:

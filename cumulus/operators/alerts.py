@@ -56,31 +56,24 @@ from cumulus.operators.series import CH, DEFAULT, POS, SeriesSpec  # noqa: E402
 
 # state codes: 0 inactive, 1 pending (active, until in the future), 2 expired
 # (active, until passed: stays on until p < thr - margin)
-_INACTIVE, _PENDING, _EXPIRED = 0, 1, 2
+INACTIVE, PENDING, EXPIRED = 0, 1, 2
 
 
-def _step(state, until, t, p, thr, margin, hold):
-    if state == _PENDING and t >= until:
-        state = _EXPIRED
-    if state == _EXPIRED:
+def advance(state, until, t, p, thr, margin, hold):
+    """(state, until) after a reading p at time t (microseconds, as hold and until)."""
+    if state == PENDING and t >= until:
+        state = EXPIRED
+    if state == EXPIRED:
         if p < thr - margin:
-            return _INACTIVE, None
-        return _EXPIRED, until
-    if state == _PENDING:
+            return INACTIVE, None
+        return EXPIRED, until
+    if state == PENDING:
         if p >= thr:
-            return _PENDING, t + hold
-        return _PENDING, until
+            return PENDING, t + hold
+        return PENDING, until
     if p >= thr:
-        return _PENDING, t + hold
-    return _INACTIVE, None
-
-
-def _simulate(ts, ps, state, until, thr, margin, hold, out=None):
-    for i in range(len(ts)):
-        state, until = _step(state, until, ts[i], ps[i], thr, margin, hold)
-        if out is not None:
-            out[i] = 1 if state != _INACTIVE else 0
-    return state, until
+        return PENDING, t + hold
+    return INACTIVE, None
 
 
 def alert_hysteresis(df: DataFrame, prob: str = "probability", threshold: float = 0.5,
@@ -116,29 +109,29 @@ def alert_hysteresis(df: DataFrame, prob: str = "probability", threshold: float
         ts, ps = pdf["_t"].to_numpy(), pdf["_p"].to_numpy(dtype="float64")
         t0 = int(ts[0])
         near = [int(t) for t in ts if t < t0 + hold]
-        classes = [(_INACTIVE, None), (_EXPIRED, None)]
+        classes = [(INACTIVE, None), (EXPIRED, None)]
         # pending until u in (near[k-1], near[k]] ; representative u = near[k];
         # the last class (near[-1], t0 + hold] uses u = t0 + hold
         reps = near[1:] + [t0 + hold]
-        classes += [(_PENDING, u) for u in reps]
+        classes += [(PENDING, u) for u in reps]
         st, un, pas = [], [], []
         for s0, u0 in classes:
-            s1, u1, inc = s0, u0, s0 == _PENDING
+            s1, u1, inc = s0, u0, s0 == PENDING
             for i in range(len(ts)):
                 t, p = int(ts[i]), ps[i]
-                if s1 == _PENDING and t >= u1:
-                    s1 = _EXPIRED
-                if s1 == _EXPIRED:
+                if s1 == PENDING and t >= u1:
+                    s1 = EXPIRED
+                if s1 == EXPIRED:
                     if p < threshold - margin:
-                        s1, u1, inc = _INACTIVE, None, False
-                elif s1 == _PENDING:
+                        s1, u1, inc = INACTIVE, None, False
+                elif s1 == PENDING:
                     if p >= threshold:
                         u1, inc = t + hold, False
                 elif p >= threshold:
-                    s1, u1, inc = _PENDING, t + hold, False
+                    s1, u1, inc = PENDING, t + hold, False
             st.append(int(s1))
             un.append(None if u1 is None else int(u1))
-            pas.append(bool(inc and s1 != _INACTIVE))
+            pas.append(bool(inc and s1 != INACTIVE))
         row = {k: pdf[k].iloc[0] for k in keys}
         row.update({CH: int(pdf[CH].iloc[0]), "t0": t0, "times": near[1:], "out_state": st,
                     "out_until": un, "out_pass": pas})
@@ -155,15 +148,15 @@ def alert_hysteresis(df: DataFrame, prob: str = "probability", threshold: float
         chs, t0s = pdf[CH].to_numpy(), pdf["t0"].to_numpy()
         times_l, st_l = pdf["times"].to_list(), pdf["out_state"].to_list()
         un_l, pas_l = pdf["out_until"].to_list(), pdf["out_pass"].to_list()
-        state, until = _INACTIVE, None
+        state, until = INACTIVE, None
         in_state, in_until = np.empty(len(pdf), dtype=np.int32), []
         for c in range(len(pdf)):
             in_state[c] = state
             in_until.append(until)
             t0 = int(t0s[c])
-            if state == _INACTIVE:
+            if state == INACTIVE:
                 k = 0
-            elif state == _EXPIRED or (state == _PENDING and until <= t0):
+            elif state == EXPIRED or (state == PENDING and until <= t0):
                 k = 1
             else:
                 times = np.asarray(times_l[c], dtype=np.int64)
@@ -190,9 +183,9 @@ def alert_hysteresis(df: DataFrame, prob: str = "probability", threshold: float
         alert = np.zeros(len(pdf), dtype=np.int32)
         untils = []
         for i in range(len(ts)):
-            state, until = _step(state, until, int(ts[i]), ps[i], threshold, margin, hold)
-            alert[i] = 1 if state != _INACTIVE else 0
-            untils.append(until if state != _INACTIVE else None)
+            state, until = advance(state, until, int(ts[i]), ps[i], threshold, margin, hold)
+            alert[i] = 1 if state != INACTIVE else 0
+            untils.append(until if state != INACTIVE else None)
         pdf["alert"] = alert
         pdf["_until"] = pd.array(untils, dtype="Int64")
         return pdf

@@ -19,8 +19,11 @@ from cumulus.sources import fixtures as fx
 from cumulus.streaming import streams as SS
 
 
-def _stream_of(df, name, fmt="parquet"):
+def _stream_of(df, name, fmt="parquet", key=None):
+    """df as a folder of files; with a key, an end mark lets every row's time pass."""
     path = SS.stage_files(df, name, fmt=fmt)
+    if key:
+        SS.end_mark(df, path, key, fmt=fmt)
     return SS.read_stream(df.sparkSession, path, df.schema, fmt=fmt)
 
 
@@ -49,8 +52,8 @@ from cumulus.plans.q_windows import _STATION_SQL  # noqa: E402
 def q_station_state(spark, sf):
     """15-minute keyed history per station; equals history_features_station."""
     g = fx.sensor_grid(spark, sf)
-    out = SS.run_append(SS.station_history(_stream_of(g, "station")), "station_hist")
-    return finish(out.where(~F.col("late")).drop("late"))
+    out = SS.run_append(SS.station_history(_stream_of(g, "station", key="location_id")), "station_hist")
+    return finish(out)
 
 
 _HYST_SQL = f"""
@@ -80,7 +83,7 @@ def q_hysteresis(spark, sf):
 @query("alert_hysteresis_stream", views=("scored",), section="2.9", sql=_HYST_SQL)
 def q_hysteresis_stream(spark, sf):
     """The same state machine as keyed streaming state."""
-    s = _stream_of(fx.scored(spark, sf).select(*KEY, "probability"), "scored")
+    s = _stream_of(fx.scored(spark, sf).select(*KEY, "probability"), "scored", key="location_id")
     out = SS.run_append(SS.hysteresis_stream(s, BEST_F1_THRESHOLD), "hyst")
     return out.select(*KEY, "alert", "alert_until")
 
@@ -90,7 +93,7 @@ def q_sky(spark, sf):
     """Per camera: EMA, consecutive-frame rates and growth flag, 20-minute
     trends over a 3-hour history."""
     f = fx.frames(spark, sf)
-    return SS.run_append(SS.sky_trend_stream(_stream_of(f, "frames")), "sky")
+    return SS.run_append(SS.sky_trend_stream(_stream_of(f, "frames", key="camera_id")), "sky")
 
 
 @query("stream_score", section="2.9")
@@ -106,10 +109,10 @@ def q_stream_score(spark, sf):
     thr = float(best["best_f1_threshold"]) if best else X.DEFAULT_ALERT_THRESHOLD
     g = fx.sensor_grid(spark, sf)
     codes = J.fit_location_codes(g)
-    feats = SS.serving_history(_stream_of(g, "serve"))
+    feats = SS.serving_history(_stream_of(g, "serve", key="location_id"))
 
     def score(batch, batch_id, out):
-        b = batch.where(~F.col("late")).drop("late")
+        b = batch
         for c in C.BASE_SENSORS:
             b = b.withColumn(c, F.coalesce(F.col(c), F.lit(0.0)))
         b = (b.withColumn("satellite_precip", X.satellite_fallback("satellite_precip", "rainfall_mm"))

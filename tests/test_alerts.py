@@ -10,20 +10,26 @@ from cumulus.operators import series as S
 
 
 def loop(ts_us, ps, thr, margin=0.05, hold=10 * 60_000_000):
-    active, until, out = False, None, []
+    carried, out = (AL.INACTIVE, None), []
     for t, p in zip(ts_us, ps):
-        if active:
-            if until is not None and t >= until:
-                if p < thr - margin:
-                    active, until = False, None
-            elif p >= thr:
-                until = t + hold
-        elif p >= thr:
-            active, until = True, t + hold
-        out.append(int(active))
+        carried = AL.advance(*carried, t, p, thr, margin, hold)
+        out.append(int(carried[0] != AL.INACTIVE))
     return out
 
 
+@pytest.mark.parametrize("minutes, scores, alerts", [
+    # on at the threshold; held for ten minutes; off only below 0.45 after that
+    ([0, 1, 5, 9, 10, 11], [0.5, 0.1, 0.1, 0.1, 0.46, 0.44], [1, 1, 1, 1, 1, 0]),
+    # a trigger inside the hold extends it from its own time
+    ([0, 9, 12, 18, 19], [0.9, 0.9, 0.0, 0.0, 0.0], [1, 1, 1, 1, 0]),
+    # a trigger after the hold keeps the alert on without a new hold
+    ([0, 10, 11], [0.9, 0.9, 0.0], [1, 1, 0]),
+    ([0, 1, 2], [0.49, 0.0, 0.5], [0, 0, 1]),
+])
+def test_hysteresis_sequences(minutes, scores, alerts):
+    assert loop([m * 60_000_000 for m in minutes], scores, 0.5) == alerts
+
+
 @pytest.mark.parametrize("chunk", [3, 7, 50, 1 << 17])
 def test_hysteresis_chunked(spark, chunk):
     rng = np.random.default_rng(11)

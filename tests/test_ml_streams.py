@@ -61,12 +61,56 @@ def test_weather_class_names_and_confidence(spark):
     assert names <= {"Sunny", "Cloudy", "Light Rain", "Heavy Rain"}
 
 
+def ended(df, name, key="location_id", shuffled=0, days=1):
+    """df as files (in time order, or shuffled over so many) with an end mark."""
+    if shuffled:
+        path = SS._scratch(df.sparkSession, name) + "/in"
+        for i in range(shuffled):
+            df.where(F.pmod(F.xxhash64(*KEY if key == "location_id" else ("camera_id", "timestamp")), F.lit(shuffled)) == i
+                     ).coalesce(1).write.mode("append").parquet(path)
+    else:
+        path = SS.stage_files(df, name)
+    SS.end_mark(df, path, key, days=days)
+    return SS.read_stream(df.sparkSession, path, df.schema, files_per_trigger=1 if shuffled else None)
+
+
+def test_shuffled_files_within_the_watermark(spark):
+    g = fx.sensor_grid(spark, SF001)
+    cols = KEY + ["rain_last_5min", "rain_last_15min", "pressure_drop_5min", "pressure_drop_15min", "humidity_change"]
+    batch = W.history_features_station(g).select(*cols)
+    s = ended(g, "t_shuf", shuffled=5, days=60)
+    out = SS.run_append(SS.station_history(s, watermark="40 days"), "t_shuf_out")
+    assert rows(out, cols) == rows(batch, cols)
+    s0 = fx.scored(spark, SF001).select(*KEY, "probability")
+    s = ended(s0, "t_shuf2", shuffled=5, days=60)
+    out = SS.run_append(SS.hysteresis_stream(s, 0.2, watermark="40 days"), "t_shuf2_out").select(*KEY, "alert")
+    assert rows(out, KEY + ["alert"]) == rows(AL.alert_hysteresis(s0, threshold=0.2).select(*KEY, "alert"), KEY + ["alert"])
+
+
+def test_late_rows_are_counted(spark):
+    g = fx.sensor_grid(spark, SF001)
+    s = ended(g, "t_late", shuffled=4)
+    out = SS.run_append(SS.station_history(s, watermark="1 minute"), "t_late_out")
+    path = out.inputFiles()[0].rsplit("/", 1)[0]
+    late = SS.late_rows(spark, path)
+    assert late > 0 and out.count() + late == g.count()
+
+
+def test_rows_of_one_time_see_each_other(spark):
+    data = [("a", "2024-07-01 00:00:00", 1.0, 1000.0, 50.0), ("a", "2024-07-01 00:01:00", 2.0, 990.0, 60.0),
+            ("a", "2024-07-01 00:01:00", 4.0, 990.0, 60.0), ("a", "2024-07-01 00:20:00", None, None, None)]
+    df = spark.createDataFrame(data, "location_id string, timestamp string, rainfall_mm double, pressure double, humidity double"
+                               ).withColumn("timestamp", F.to_timestamp("timestamp"))
+    out = SS.run_append(SS.station_history(ended(df, "t_ties")), "t_ties_out").orderBy("timestamp").collect()
+    assert [r.rain_last_5min for r in out] == [1.0, 7.0, 7.0, 0.0]
+    assert [r.pressure_drop_5min for r in out] == [0.0, 10.0, 10.0, 0.0]
+
+
 def test_station_stream_equals_batch(spark):
     g = fx.sensor_grid(spark, SF001)
     batch = W.history_features_station(g).select(*KEY, "rain_last_5min", "rain_last_15min", "pressure_drop_5min",
                                                  "pressure_drop_15min", "humidity_change")
-    s = SS.read_stream(spark, SS.stage_files(g, "t_station"), g.schema)
-    stream = SS.run_append(SS.station_history(s), "t_station_out").where(~F.col("late")).drop("late")
+    stream = SS.run_append(SS.station_history(ended(g, "t_station")), "t_station_out")
     assert rows(stream, batch.columns) == rows(batch, batch.columns)
 
 
@@ -74,8 +118,7 @@ def test_serving_stream_equals_batch(spark):
     g = fx.sensor_raw(spark, SF001)
     cols = ["rain_last_5min", "rain_last_15min", "pressure_drop_15min", "humidity_change"]
     batch = W.history_features_predict(g).select(*KEY, *cols)
-    s = SS.read_stream(spark, SS.stage_files(g, "t_serve"), g.schema)
-    stream = SS.run_append(SS.serving_history(s), "t_serve_out").where(~F.col("late")).select(*KEY, *cols)
+    stream = SS.run_append(SS.serving_history(ended(g, "t_serve")), "t_serve_out").select(*KEY, *cols)
     assert rows(stream, KEY + cols) == rows(batch, KEY + cols)
 
 
@@ -89,8 +132,7 @@ def test_sky_stream_equals_batch(spark):
     batch = e.select("camera_id", "timestamp", F.col("brightness").alias("brightness_ema"),
                      F.col("trend20_brightness_slope"), F.col("trend20_dark_fraction_slope"))
     vg = SKY.vertical_growth(f, CAM).select("camera_id", "timestamp", "darkening_rate", "vertical_growth_flag")
-    s = SS.read_stream(spark, SS.stage_files(f, "t_sky"), f.schema)
-    out = SS.run_append(SS.sky_trend_stream(s), "t_sky_out")
+    out = SS.run_append(SS.sky_trend_stream(ended(f, "t_sky", "camera_id")), "t_sky_out")
     cols = ["camera_id", "timestamp", "brightness_ema", "trend20_brightness_slope", "trend20_dark_fraction_slope"]
     assert rows(out, cols) == rows(batch, cols)
     cols2 = ["camera_id", "timestamp", "darkening_rate", "vertical_growth_flag"]
@@ -100,6 +142,5 @@ def test_sky_stream_equals_batch(spark):
 def test_hysteresis_stream_equals_batch(spark):
     s0 = fx.scored(spark, SF001).select(*KEY, "probability")
     batch = AL.alert_hysteresis(s0, threshold=0.2).select(*KEY, "alert")
-    s = SS.read_stream(spark, SS.stage_files(s0, "t_hyst"), s0.schema)
-    stream = SS.run_append(SS.hysteresis_stream(s, 0.2), "t_hyst_out").select(*KEY, "alert")
+    stream = SS.run_append(SS.hysteresis_stream(ended(s0, "t_hyst"), 0.2), "t_hyst_out").select(*KEY, "alert")
     assert rows(stream, KEY + ["alert"]) == rows(batch, KEY + ["alert"])
