@@ -6,11 +6,12 @@ bootstrap augmentation."""
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cumulus.operators import boosting as B
 from cumulus.operators import joins as J
 from cumulus.operators import windows as W
 from cumulus.operators.series import DEFAULT, SeriesSpec
@@ -53,22 +55,37 @@ def edge_training(spark, sf_dir: str) -> DataFrame:
                     lab.alias("Weather_Label"))
 
 
-def _hash(keys: list[str], seed: int):
-    return F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+def _label_rank(df: DataFrame, label: str, keys: list[str], seed: int) -> DataFrame:
+    """Adds ``_rank`` (1..n within the label, in the order of a seeded hash of the
+    keys) and ``_n``.  Ranks come from counts per (label, hash range) and a running
+    count inside the range, so no label is sorted in one task."""
+    def text(k):
+        c = F.col(k)
+        return F.unix_micros(c).cast("string") if isinstance(df.schema[k].dataType, T.TimestampType) else c.cast("string")
+    h = F.md5(F.concat_ws("|", *[text(k) for k in keys], F.lit(str(seed))))
+    x = df.withColumn("_h", h).withColumn("_part", F.substring("_h", 1, 3))
+    parts = x.groupBy(label, "_part").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(label).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col(label).alias("_label"), "_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_ahead"),
+                         F.sum("_c").over(Window.partitionBy(label)).alias("_n")).withColumnRenamed("_part", "_p")
+    inside = F.row_number().over(Window.partitionBy(label, "_part").orderBy("_h", *keys))
+    x = x.withColumn("_i", inside).join(parts, (F.col(label).eqNullSafe(F.col("_label"))) & (F.col("_part") == F.col("_p")))
+    return x.withColumn("_rank", F.col("_ahead") + F.col("_i")).drop("_h", "_part", "_p", "_label", "_ahead", "_i")
 
 
 def stratified_split(df: DataFrame, label: str, test_fraction: float, keys: list[str],
                      seed: int = SEED) -> DataFrame:
-    """Adds ``is_test``: a deterministic per-row hash of the keys below the
-    fraction.  Applied within each label the expected share is the same for
-    both classes; no per-label sort, so it scales with any class size."""
-    u = F.pmod(_hash(keys + [label], seed), F.lit(1_000_000))
-    return df.withColumn("is_test", u < F.lit(int(round(test_fraction * 1_000_000))))
+    """Adds ``is_test``: exactly the rounded share of each label's rows, drawn by a
+    seeded hash of the keys."""
+    x = _label_rank(df, label, keys, seed)
+    share = F.floor(F.col("_n") * F.lit(float(test_fraction)) + F.lit(0.5))
+    return x.withColumn("is_test", F.col("_rank") <= share).drop("_rank", "_n")
 
 
 def stratified_folds(df: DataFrame, label: str, k: int, keys: list[str], seed: int = SEED) -> DataFrame:
-    """Adds ``fold`` in 0..k-1 from a seeded hash of the keys and label."""
-    return df.withColumn("fold", F.pmod(_hash(keys + [label], seed), F.lit(k)).cast("int"))
+    """Adds ``fold`` in 0..k-1; within a label fold sizes differ by one at most."""
+    x = _label_rank(df, label, keys, seed)
+    return x.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank", "_n")
 
 
 def fit_standard_scaler(train: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
@@ -113,8 +130,8 @@ def logreg(train: DataFrame, cols: list[str], label: str, C: float = 1.0, max_it
 
 
 def random_forest(train: DataFrame, cols: list[str], label: str, num_trees: int = 200,
-                  max_depth: int = 12, seed: int = SEED):
-    """Random forest with class-balanced weights."""
+                  max_depth: int = 30, seed: int = SEED):
+    """Random forest with class-balanced weights; depth up to Spark's limit of 30."""
     data = assemble(balanced_weights(train, label), cols)
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight",
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed)
@@ -147,69 +164,98 @@ def platt(scores: DataFrame, raw_col: str, label: str, soft: bool = False):
     return lr.fit(VectorAssembler(inputCols=["_raw"], outputCol="_f").transform(x))
 
 
-def calibrated_ensemble(train: DataFrame, cols: list[str], label: str, seeds=(SEED,), folds: int = 3,
-                        rounds: int = 20, keys: list[str] | None = None, parallelism: int = 4):
-    """Per seed and fold: boosted trees (step 0.05, depth 6, >= 20 rows per
-    leaf, 80 % rows / columns, positive weight neg / pos) fitted on the
-    other folds, sigmoid-calibrated on the held-out fold; the fits run as
-    concurrent jobs.  Returns a list of (tree model, calibrator) in (seed,
-    fold) order."""
-    from pyspark import StorageLevel
+ENSEMBLE_SEEDS = (42, 52, 62, 72, 82)
+#: Labelled rows that the boosted trees are fitted on, at most (drawn by hash).
+FIT_ROWS = 10_000
+
+
+def calibrated_ensemble(train: DataFrame, cols: list[str], label: str, seeds=ENSEMBLE_SEEDS, folds: int = 3,
+                        rounds: int = 800, keys: list[str] | None = None, fit_rows: int = FIT_ROWS) -> list[dict]:
+    """Per seed and fold: boosted trees (step 0.05, 48 leaves, >= 20 rows per
+    leaf, 80 % rows / columns, positive weight neg / pos) fitted on the other
+    folds, sigmoid-calibrated on the held-out fold.  The fits are the groups of
+    one grouped map and run side by side; each sees a sample of at most about
+    ``fit_rows`` labelled rows.  Returns one dict per (seed, fold), in order:
+    seed, fold, trees, a, b."""
+    import pickle
     keys = keys or ["location_id", "timestamp"]
-    cnt = train.agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("p"),
-                    F.sum(F.when(F.col(label) == 0, 1).otherwise(0)).alias("n")).first()
-    pos, neg = cnt["p"] or 0, cnt["n"] or 0
-    w_pos = neg / max(1, pos)
-    data = assemble(train.withColumn("weight", F.when(F.col(label) == 1, w_pos).otherwise(1.0)), cols)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    from concurrent.futures import ThreadPoolExecutor
-
-    def fit_one(seed_fold):
-        seed, f = seed_fold
-        fd = stratified_folds(data, label, folds, keys, seed)
-        fit_part, held = fd.where(F.col("fold") != f), fd.where(F.col("fold") == f)
-        gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=rounds,
-                            stepSize=0.05, maxDepth=6, minInstancesPerNode=20, subsamplingRate=0.8,
-                            featureSubsetStrategy="0.8", seed=seed, cacheNodeIds=True)
-        m = gbt.fit(fit_part)
-        raw = m.transform(held).withColumn("_margin", vector_to_array("rawPrediction").getItem(1))
-        return m, platt(raw, "_margin", label)
-
-    # independent fits run as concurrent Spark jobs (like CrossValidator's parallelism)
-    tasks = [(seed, f) for seed in seeds for f in range(folds)]
-    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as ex:
-        models = list(ex.map(fit_one, tasks))
-    data.unpersist()
-    return models
-
-
-def ensemble_predict(df: DataFrame, models, cols: list[str], out: str = "probability_mean") -> DataFrame:
-    """Mean calibrated positive-class probability over the models."""
-    x = assemble(df, cols, "features")
-    terms = []
-    for i, (m, cal) in enumerate(models):
-        x = m.transform(x).withColumn(f"_m{i}", vector_to_array("rawPrediction").getItem(1)) \
-             .drop("rawPrediction", "probability", "prediction")
-        a, b = float(cal.coefficients[0]), float(cal.intercept)
-        terms.append(F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * F.col(f"_m{i}") + F.lit(b)))))
-    mean = terms[0]
-    for t in terms[1:]:
-        mean = mean + t
-    x = x.withColumn(out, mean / F.lit(float(len(terms))))
-    return x.drop("features", *[f"_m{i}" for i in range(len(models))])
-
-
-def save_models(models, path: str) -> None:
-    """Model store: each (trees, calibrator) pair under path/i."""
-    for i, (m, cal) in enumerate(models):
-        m.write().overwrite().save(f"{path}/{i}/trees")
-        cal.write().overwrite().save(f"{path}/{i}/calibrator")
-
-
-def load_models(path: str, n: int):
-    from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
-    return [(GBTClassificationModel.load(f"{path}/{i}/trees"),
-             LogisticRegressionModel.load(f"{path}/{i}/calibrator")) for i in range(n)]
+    n = train.where(F.col(label).isNotNull()).count()
+    draw = F.pmod(F.xxhash64(*keys, F.lit("fit")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = train.where(F.col(label).isNotNull() & (draw < F.lit(fit_rows / max(n, 1))))
+    sample = sample.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols], F.col(label).cast("int").alias("_y"))
+    parts = [stratified_folds(sample, "_y", folds, keys, s).withColumn("_seed", F.lit(s)) for s in seeds]
+    dealt = parts[0]
+    for p in parts[1:]:
+        dealt = dealt.unionByName(p)
+    dealt = dealt.withColumn("_held", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    settings = B.Settings(rounds=rounds)
+
+    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        seed, held = key
+        rows = rows.sort_values(keys)
+        X, y, out = rows[cols].to_numpy(dtype=float), rows["_y"].to_numpy(), (rows["fold"] == held).to_numpy()
+        trees = B.fit(X[~out], y[~out], settings, int(seed) * 31 + int(held))
+        a, b = B.platt(trees.margin(X[out]), y[out])
+        return pd.DataFrame({"seed": [seed], "fold": [held], "trees": [pickle.dumps(trees)], "a": [a], "b": [b]})
+
+    got = (dealt.repartition(len(seeds) * folds, "_seed", "_held").groupBy("_seed", "_held")
+           .applyInPandas(fit, "seed int, fold int, trees binary, a double, b double")).collect()
+    return [{"seed": r.seed, "fold": r.fold, "trees": pickle.loads(r.trees), "a": r.a, "b": r.b}
+            for r in sorted(got, key=lambda r: (r.seed, r.fold))]
+
+
+def row_mean(cols) -> "F.Column":
+    """Mean over the models' probabilities of a row."""
+    total = cols[0]
+    for c in cols[1:]:
+        total = total + c
+    return total / F.lit(float(len(cols)))
+
+
+def ensemble_predict(df: DataFrame, models: list[dict], cols: list[str], out: str = "probability_mean") -> DataFrame:
+    """Mean over seeds of the mean over folds of the calibrated positive-class
+    probability."""
+    shared = df.sparkSession.sparkContext.broadcast(models)
+    seeds = sorted({m["seed"] for m in models})
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def by_seed(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        models = shared.value
+        for parts in batches:
+            X = np.column_stack([p.to_numpy(dtype=float) for p in parts])
+            p = np.zeros((len(X), len(seeds)))
+            for m in models:
+                z = m["a"] * m["trees"].margin(X) + m["b"]
+                p[:, seeds.index(m["seed"])] += 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+            p /= len(models) / len(seeds)
+            yield pd.Series(list(p))
+
+    x = df.withColumn("_p", by_seed(*[F.col(c).cast("double") for c in cols]))
+    return x.withColumn(out, row_mean([F.col("_p")[i] for i in range(len(seeds))])).drop("_p")
+
+
+def save_models(spark, models: list[dict], path: str, codes: DataFrame | None = None,
+                thresholds: dict | None = None, features: list[str] | None = None) -> None:
+    """Model store: trees and calibrators, the location encoder, the thresholds and
+    the feature list, below one folder."""
+    import json
+    import pickle
+    rows = [(m["seed"], m["fold"], bytearray(pickle.dumps(m["trees"])), m["a"], m["b"]) for m in models]
+    spark.createDataFrame(rows, "seed int, fold int, trees binary, a double, b double").write.mode("overwrite").parquet(f"{path}/models")
+    if codes is not None:
+        codes.write.mode("overwrite").parquet(f"{path}/encoder")
+    meta = json.dumps({"thresholds": thresholds or {}, "features": features or []})
+    spark.createDataFrame([(meta,)], "meta string").write.mode("overwrite").parquet(f"{path}/meta")
+
+
+def load_models(spark, path: str) -> tuple[list[dict], dict]:
+    """(models, {thresholds, features, encoder}) as saved."""
+    import json
+    import pickle
+    rows = sorted(spark.read.parquet(f"{path}/models").collect(), key=lambda r: (r.seed, r.fold))
+    meta = json.loads(spark.read.parquet(f"{path}/meta").first().meta)
+    meta["encoder"] = spark.read.parquet(f"{path}/encoder")
+    return [{"seed": r.seed, "fold": r.fold, "trees": pickle.loads(r.trees), "a": r.a, "b": r.b} for r in rows], meta
 
 
 # ---------------------------------------------------------------- edge models
@@ -221,7 +267,7 @@ def weather_class(train: DataFrame, num_trees: int = 100, seed: int = SEED):
     """Four-class weather model; confidence = 100 * probability of the
     predicted class, 2 decimals."""
     rf = RandomForestClassifier(featuresCol="features", labelCol="Weather_Label", numTrees=num_trees,
-                                maxDepth=8, seed=seed)
+                                maxDepth=30, seed=seed)
     return rf.fit(assemble(train, EDGE_FEATURES))
 
 
@@ -247,25 +293,25 @@ def _c_factor(n: int) -> float:
 def isolation_forest(df: DataFrame, cols: list[str], n_trees: int = 100, sample: int = 256,
                      contamination: float = 0.05, seed: int = SEED, keys: list[str] | None = None) -> DataFrame:
     """Isolation forest: each tree is grown in a grouped map from at most
-    ``sample`` rows picked by a seeded hash (a bounded group per tree), the
-    trees (a few hundred nodes each) are broadcast to a vectorised scorer,
-    score = 2^(-E[h] / c(sample)), rounded to 4; anomaly when the score is
-    above the (1 - contamination) quantile (the top 5 %)."""
+    ``sample`` rows of all, picked by a seeded hash per tree (a bounded group
+    per tree), the trees (a few hundred nodes each) are broadcast to a
+    vectorised scorer.  With s = 2^(-E[h] / c(sample)), anomaly_score is the
+    decision value -s - offset, rounded to 4, where offset is the
+    ``contamination`` quantile of -s: negative values are anomalies."""
     from cumulus.operators.stats import quantile_values
     keys = keys or ["location_id", "timestamp"]
     spark = df.sparkSession
     n = df.count()
     psi = min(sample, n)
-    # one hash pre-filter keeps a pool of about 4 * psi * n_trees rows; each
-    # tree then draws about 4 * psi of them and keeps the psi smallest hashes
-    pool_frac = min(1.0, 4.0 * psi * n_trees / max(n, 1))
-    per_tree = min(1.0, 4.0 * psi / max(pool_frac * n, 1.0))
-    kh = [F.col(k) for k in keys]
-    pool = df.select(*keys, *cols).where(
-        F.pmod(F.xxhash64(*kh, F.lit(seed)), F.lit(1_000_000_000)) < F.lit(int(pool_frac * 1e9)))
-    cand = pool.withColumn("tree", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_trees - 1).cast("long"))))
-    h = F.pmod(F.xxhash64(*kh, F.col("tree"), F.lit(seed + 1)), F.lit(1_000_000_000))
-    cand = cand.withColumn("_h", h).where(F.col("_h") < F.lit(int(per_tree * 1e9)))
+    # every tree draws about 4 * psi of all rows and keeps the psi smallest hashes;
+    # rows that no tree draws are dropped before they are copied per tree
+    share = int(min(1.0, 4.0 * psi / max(n, 1)) * 1e9)
+    row = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+    draws = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n_trees - 1).cast("long")), lambda t: F.struct(
+        t.alias("tree"), F.pmod(F.xxhash64(F.col("_row"), t), F.lit(1_000_000_000)).alias("h")))
+    cand = (df.select(*cols, row.alias("_row"))
+            .withColumn("_d", F.explode(F.filter(draws, lambda d: d["h"] < share)))
+            .select(*cols, F.col("_d.tree").alias("tree"), F.col("_d.h").alias("_h")))
     depth_limit = int(math.ceil(math.log2(max(psi, 2))))
     schema = "tree long, node long, feature int, split double, left long, right long, size long"
 
@@ -335,9 +381,10 @@ def isolation_forest(df: DataFrame, cols: list[str], n_trees: int = 100, sample:
     scored = df.withColumn("anomaly_score", score(*[F.col(c) for c in cols]))
     checkpoint_dir(spark)
     scored = scored.checkpoint(eager=True)
-    cut = quantile_values(scored, "anomaly_score", [1.0 - contamination])[0]
-    return (scored.withColumn("anomaly", (F.col("anomaly_score") > F.lit(cut)).cast("int"))
-                  .withColumn("anomaly_score", F.round("anomaly_score", 4)))
+    cut = quantile_values(scored, "anomaly_score", [1.0 - contamination])[0] or 0.0
+    decision = F.lit(cut) - F.col("anomaly_score")
+    return (scored.withColumn("anomaly", (decision < 0).cast("int"))
+                  .withColumn("anomaly_score", F.round(decision, 4)))
 
 
 def temp_forecast(df: DataFrame, col: str = "temperature", spec: SeriesSpec = DEFAULT):
@@ -363,32 +410,36 @@ def _gauss(*parts):
 
 
 def bootstrap_augment(df: DataFrame, min_rows: int, noise=(0.8, 3.0, 2.0), seed: int = SEED,
-                      label: str = "Weather_Label") -> DataFrame:
-    """Below ``min_rows``: append noisy copies until at least ``min_rows``
-    rows exist (like the batch loop, the total may overshoot): every row
-    gets ceil(need / n) copies, each chosen row re-drawn by a seeded hash
-    (sampling with replacement), with N(0, s) noise on Temp, Humidity,
-    Pressure from hashed Box-Muller draws; labels are kept."""
+                      label: str = "Weather_Label", batch: int = 5) -> DataFrame:
+    """Below ``min_rows``: append noisy copies in batches of ``batch`` until at least
+    ``min_rows`` rows exist.  Each copy draws its source row with replacement: source
+    rows are numbered 0..n-1 (number within the partition plus the sizes of those
+    before), a copy's seeded hash names a number, and the two meet in an equi-join.
+    Temp, Humidity and Pressure get N(0, s) noise from hashed Box-Muller draws;
+    labels are kept."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
     base = df.select(*EDGE_FEATURES, label)
-    n = base.count()
+    numbered = base.withColumn("_id", F.monotonically_increasing_id()).checkpoint(eager=True)
+    base = numbered.drop("_id")
+    n = numbered.count()
     if n >= min_rows or n == 0:
         return base
-    need = min_rows - n
-    m = int(math.ceil(need / n))
-    # a row's copies come from its hash bucket neighbours: resample by joining
-    # on a hashed bucket id (with replacement across buckets)
-    nb = max(1, n // 8)
-    rowh = F.xxhash64(*[F.col(c) for c in EDGE_FEATURES], F.col(label), F.lit(seed))
-    keyed = base.withColumn("_rh", rowh).withColumn("_bk", F.pmod(F.col("_rh"), F.lit(nb)))
-    copies = keyed.select("_rh", "_bk", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("_j"))
-    copies = copies.withColumn("_src", F.pmod(F.xxhash64("_rh", "_j", F.lit(seed)), F.lit(nb)))
-    donors = keyed.select(F.col("_bk").alias("_src"), *[F.col(c).alias(f"_d_{c}") for c in EDGE_FEATURES],
-                          F.col(label).alias("_d_label"), F.col("_rh").alias("_drh"))
-    # within the donor bucket take the donor whose hash is next after the copy's draw
-    pick = copies.join(donors, "_src")
-    w = Window.partitionBy("_rh", "_j").orderBy(F.pmod(F.xxhash64("_drh", "_rh", "_j"), F.lit(2 ** 31)))
-    pick = pick.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
-    out = pick.select(*[(F.col(f"_d_{c}") + F.lit(s) * _gauss(F.col("_rh"), F.col("_j"), F.lit(i))).alias(c)
-                        for i, (c, s) in enumerate(zip(EDGE_FEATURES, noise))],
-                      F.col("_d_label").alias(label))
-    return base.unionByName(out)
+    need = -(-(min_rows - n) // batch) * batch
+    numbered = numbered.withColumn("_part", F.shiftright("_id", 33))
+    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    ahead = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_ahead"))
+    rows = numbered.join(ahead, "_part").withColumn(
+        "_row", F.col("_ahead") + F.col("_id").bitwiseAND((1 << 33) - 1))
+    copies = spark.range(need).select(F.col("id").alias("_copy"),
+                                      F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)).alias("_row"))
+    out = copies.join(rows, "_row").select(
+        *[(F.col(c) + F.lit(s) * _gauss(F.col("_copy"), F.lit(seed), F.lit(i))).alias(c)
+          for i, (c, s) in enumerate(zip(EDGE_FEATURES, noise))], label)
+    return union_augmented(base, out)
+
+
+def union_augmented(originals: DataFrame, augmented: DataFrame) -> DataFrame:
+    """Originals and stored augmented rows as one training table."""
+    return originals.unionByName(augmented.select(*originals.columns))

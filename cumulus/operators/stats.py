@@ -216,19 +216,24 @@ def classification_report(df: DataFrame, y: str = "label", yhat: str = "predicti
     return out.select("class", *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
-def roc_auc(df: DataFrame, score: str = "probability", label: str = "label", digits: int = 6) -> DataFrame:
-    """Area under the ROC curve with tied scores at half credit (average
-    ranks).  Scores are grouped to ``digits`` decimals (at most 10^digits + 1
-    groups for probabilities), counted per group as a partial aggregate, and
-    the cumulative negatives are a window over those groups only.  One class
-    only -> NULL auc."""
-    g = (df.where(F.col(score).isNotNull())
-           .groupBy(F.round(F.col(score), digits).alias("s"))
-           .agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
-                F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg")))
-    w = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    a = g.agg((F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5))).alias("u"),
+def roc_auc(df: DataFrame, score: str = "probability", label: str = "label", ranges: int = 256) -> DataFrame:
+    """Area under the ROC curve, exact, with tied scores at half credit (average
+    ranks).  Rows are counted per score (a partial aggregate); the negatives below
+    a score are those of the score ranges before plus a running sum inside its
+    range, so no task sees all scores.  One class only -> NULL auc."""
+    x = df.where(F.col(score).isNotNull()).select(F.col(score).cast("double").alias("s"), F.col(label).alias("y"))
+    at = [i / ranges for i in range(1, ranges)]
+    bounds = sorted(set(x.agg(F.percentile_approx("s", at).alias("b")).first()["b"] or []))
+    cuts = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
+    g = (x.groupBy("s").agg(F.sum(F.when(F.col("y") == 1, 1).otherwise(0)).alias("pos"),
+                            F.sum(F.when(F.col("y") == 1, 0).otherwise(1)).alias("neg"))
+          .withColumn("range", F.size(F.filter(cuts, lambda b: b <= F.col("s")))))
+    sums = g.groupBy("range").agg(F.sum("neg").alias("n"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    ahead = sums.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    w = Window.partitionBy("range").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    g = g.withColumn("below", F.coalesce(F.sum("neg").over(w), F.lit(0))).join(ahead, "range")
+    a = g.agg(F.sum(F.col("pos") * (F.col("ahead") + F.col("below") + F.col("neg") * 0.5)).alias("u"),
               F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return a.select(F.when((F.col("P") > 0) & (F.col("N") > 0),
                            F.col("u") / (F.col("P") * F.col("N"))).alias("auc"),

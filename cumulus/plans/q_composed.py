@@ -214,12 +214,22 @@ def q_series_dump(spark, sf):
     return finish(fx.duplicates(spark, sf).select(*KEY, "rainfall_mm", "arrival", "seq"))
 
 
-@query("union_augmented", section="2.7")
+_EDGE = """SELECT temperature AS Temp, humidity AS Humidity, pressure AS Pressure,
+  CASE WHEN rainfall_mm < 5 THEN 0 WHEN rainfall_mm < 15 THEN 1 WHEN rainfall_mm < 30 THEN 2 ELSE 3 END AS Weather_Label
+  FROM sensor_grid"""
+
+
+@query("union_augmented", views=("sensor_grid",), section="2.7", sql=f"""
+WITH e AS ({_EDGE})
+SELECT {r('Temp')} AS Temp, {r('Humidity')} AS Humidity, {r('Pressure')} AS Pressure, Weather_Label FROM (
+  SELECT * FROM e UNION ALL SELECT Temp + 0.5, Humidity - 1.0, Pressure + 0.25, Weather_Label FROM e)""")
 def q_union_augmented(spark, sf):
-    """Originals plus bootstrap-augmented rows (rows check)."""
-    from cumulus.operators.ml import edge_training, bootstrap_augment
-    base = edge_training(spark, sf)
-    return bootstrap_augment(base, min_rows=base.count() * 2)
+    """Originals and a given table of augmented rows (here: shifted ones)."""
+    from cumulus.operators.ml import EDGE_FEATURES, edge_training, union_augmented
+    base = edge_training(spark, sf).select(*EDGE_FEATURES, "Weather_Label")
+    given = base.select((F.col("Temp") + 0.5).alias("Temp"), (F.col("Humidity") - 1.0).alias("Humidity"),
+                        (F.col("Pressure") + 0.25).alias("Pressure"), "Weather_Label")
+    return finish(union_augmented(base, given))
 
 
 # ------------------------------------------------------------------ 2.8

@@ -101,12 +101,8 @@ def q_stream_score(spark, sf):
     """Readings stream -> serving history state -> model input -> calibrated
     ensemble -> risk level -> alert at the tuned threshold, per micro-batch."""
     from cumulus.operators import ml as ML
-    from cumulus.operators import stats as ST
     from cumulus.plans.q_ml import _ensemble
-    train, models = _ensemble(spark, sf)
-    fit = ML.ensemble_predict(train, models, C.FEATURES, "probability")
-    best = ST.best_f1(ST.f1_sweep(fit, "probability", "cloudburst")).first()
-    thr = float(best["best_f1_threshold"]) if best else X.DEFAULT_ALERT_THRESHOLD
+    _, models, thr = _ensemble(spark, sf)
     g = fx.sensor_grid(spark, sf)
     codes = J.fit_location_codes(g)
     feats = SS.serving_history(_stream_of(g, "serve", key="location_id"))
