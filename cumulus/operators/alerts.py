@@ -29,9 +29,10 @@ def rule_thresholds(df: DataFrame, label: str = "cloudburst") -> dict[str, float
 def rule_classifier(df: DataFrame, thresholds: dict[str, float] | None = None,
                     label: str = "cloudburst", out: str = "rule_prediction") -> DataFrame:
     """AND of strict ``column > threshold`` tests; absent columns are
-    skipped, none left is an error."""
+    skipped, none left is an error; a threshold without a value (no positive
+    rows) is never exceeded."""
     thr = rule_thresholds(df, label) if thresholds is None else thresholds
-    conds = [F.col(c) > F.lit(v) for c, v in thr.items() if c in df.columns and v is not None]
+    conds = [F.lit(False) if v is None else F.col(c) > F.lit(v) for c, v in thr.items() if c in df.columns]
     if not conds:
         raise ValueError("no usable features for the rule")
     cond = conds[0]

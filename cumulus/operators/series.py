@@ -133,15 +133,23 @@ def time_frames(df: DataFrame, spec: SeriesSpec,
 # positions and row frames
 
 
+#: Bucket of rows without a time: after every real one.
+NO_TIME = 1 << 40
+
+
 def with_positions(df: DataFrame, spec: SeriesSpec = DEFAULT) -> DataFrame:
     """Add ``_s_pos`` (0-based position in the series by event time) and
     ``_s_n`` (series length).  Ties in time are ordered by a row hash so the
-    numbering is the same on every recomputation."""
+    numbering is the same on every recomputation.  Rows without a time come
+    last; rows without a key belong to no series and are left out (take them
+    out first with ``validate_schema``, which names them)."""
     if POS in df.columns:
         return df
     keys = _keys(spec)
     B = spec.bucket_us
-    x = df.withColumn(US, micros(spec.ts)).withColumn(TB, F.floor(F.col(US) / F.lit(B)))
+    # rows without a time come after all others of their series, in a bucket of their own
+    x = df.withColumn(US, micros(spec.ts)).withColumn(
+        TB, F.coalesce(F.floor(F.col(US) / F.lit(B)), F.lit(NO_TIME)))
     counts = x.groupBy(*keys, TB).agg(F.count(F.lit(1)).alias("_s_cnt"))
     wk = Window.partitionBy(*keys).orderBy(TB)
     offs = counts.select(

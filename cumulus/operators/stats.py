@@ -14,8 +14,13 @@ from cumulus.session import checkpoint_dir
 
 # ---------------------------------------------------------------- quantiles
 
+def _log_scale(v):
+    """Monotone in v over all doubles, with even steps per order of magnitude."""
+    return F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * (F.log(F.abs(v)) + F.lit(745.0)))
+
+
 def exact_quantiles(df: DataFrame, col, qs: list[float], keys: list[str] | tuple = (),
-                    buckets: int = 4096, final_rows: int = 100_000, max_passes: int = 12) -> DataFrame:
+                    buckets: int = 4096, final_rows: int = 100_000) -> DataFrame:
     """Exact quantiles with linear interpolation (as numpy / pandas /
     ``percentile``), per group of ``keys`` and per column, without gathering
     a group in one task.
@@ -50,14 +55,20 @@ def exact_quantiles(df: DataFrame, col, qs: list[float], keys: list[str] | tuple
                    "_a", "_b", F.lit(0).cast("long").alias("_r"), F.col("_n").alias("_c"))
     tk = keys + ["_qi", "_w"]
     st = st.checkpoint(eager=True)
-    for _ in range(max_passes):
+    # a pass puts the ends of an interval in two bins, so it always narrows: by
+    # magnitude first, then evenly, some six passes for any doubles
+    while True:
         open_ = st.where((F.col("_a") < F.col("_b")) & (F.col("_c") > final_rows))
         if open_.limit(1).count() == 0:
             break
         j = attach(x, open_.select(*tk, "_k", "_a", "_b", "_r"), keys, "inner")
         j = j.where((F.col("_v") >= F.col("_a")) & (F.col("_v") <= F.col("_b")))
-        bk = F.least(F.floor((F.col("_v") - F.col("_a")) / (F.col("_b") - F.col("_a")) * buckets),
-                     F.lit(buckets - 1))
+        wide = ((F.col("_a") * F.col("_b") <= 0)
+                | (F.greatest(F.abs("_a"), F.abs("_b")) > 16 * F.least(F.abs("_a"), F.abs("_b"))))
+        share = F.when(wide, (_log_scale(F.col("_v")) - _log_scale(F.col("_a")))
+                       / (_log_scale(F.col("_b")) - _log_scale(F.col("_a")))).otherwise(
+            (F.col("_v") - F.col("_a")) / (F.col("_b") - F.col("_a")))
+        bk = F.least(F.floor(share * buckets), F.lit(buckets - 1))
         hist = (j.withColumn("_bk", bk)
                  .groupBy(*tk, "_k", "_r", "_bk")
                  .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx")))
@@ -164,9 +175,10 @@ def label_histogram(df: DataFrame, col: str, label: str = "cloudburst", bins: in
     width = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.floor((F.col(col) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     x = df.where(F.col(col).isNotNull()).withColumn("bin", b)
-    counts = x.groupBy(label, "bin").agg(F.count(F.lit(1)).alias("count"))
+    counts = x.groupBy(label, "bin").agg(F.count(F.lit(1)).alias("_c"))
     n = x.groupBy(label).agg(F.count(F.lit(1)).alias("_nl"))
-    out = counts.join(n, label)
+    every = n.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    out = every.join(counts, [label, "bin"], "left").withColumn("count", F.coalesce("_c", F.lit(0)))
     return out.select(F.col(label).alias("label"), "bin",
                       (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_low"),
                       (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_high"),

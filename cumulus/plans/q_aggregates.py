@@ -115,11 +115,11 @@ WITH f AS (SELECT cloudburst,
 m AS (SELECT min(rain_15) AS lo, max(rain_15) AS hi FROM f),
 b AS (SELECT cloudburst, lo, CASE WHEN hi > lo THEN (hi - lo) / 20 ELSE 1.0 END AS w, rain_15 FROM f, m WHERE rain_15 IS NOT NULL),
 c AS (SELECT cloudburst, lo, w, CAST(least(floor((rain_15 - lo) / w), 19) AS INTEGER) AS bin FROM b)
-SELECT cloudburst AS label, bin, {r('min(lo) + bin * min(w)')} AS bin_low, {r('min(lo) + (bin + 1) * min(w)')} AS bin_high,
-  count(*) AS count,
-  {r('count(*) / (min(n.nl) * min(w))')} AS density
-FROM c JOIN (SELECT cloudburst AS l2, count(*) AS nl FROM b GROUP BY 1) n ON n.l2 = c.cloudburst
-GROUP BY cloudburst, bin""")
+SELECT n.label, g.bin, {r('n.lo + g.bin * n.w')} AS bin_low, {r('n.lo + (g.bin + 1) * n.w')} AS bin_high,
+  coalesce(k.n, 0) AS count, {r('coalesce(k.n, 0) / (n.nl * n.w)')} AS density
+FROM (SELECT cloudburst AS label, min(lo) AS lo, min(w) AS w, count(*) AS nl FROM b GROUP BY 1) n
+CROSS JOIN (SELECT CAST(unnest(range(20)) AS INTEGER) AS bin) g
+LEFT JOIN (SELECT cloudburst AS label, bin, count(*) AS n FROM c GROUP BY 1, 2) k ON k.label = n.label AND k.bin = g.bin""")
 def q_label_histogram(spark, sf):
     df = W.rain_time_sums(fx.sensor_grid(spark, sf), windows=(15,))
     return finish(ST.label_histogram(df, "rain_15", "cloudburst", 20))

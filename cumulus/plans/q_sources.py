@@ -153,22 +153,24 @@ def q_predictions_json(spark, sf):
     return SK.write_predictions_json(pred, _scratch(spark, "predictions_json"))
 
 
-@query("publish_alerts", section="2.1")
+@query("publish_alerts", views=("scored",), section="2.1", sql=f"""
+SELECT location_id, timestamp, probability, label FROM scored WHERE probability >= {BEST_F1_THRESHOLD}""")
 def q_publish(spark, sf):
-    """Alerting rows handed to a subscriber callback (here: a parquet
-    table standing in for the webhook); delivery errors do not stop it."""
-    path = _scratch(spark, "published")
-    s = fx.scored(spark, sf).where(F.col("probability") >= BEST_F1_THRESHOLD)
-
-    def subscriber(batch, batch_id):
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
+    """Alerting rows of a stream handed to two subscribers per micro-batch: one
+    that stores them (standing in for the webhook) and one that fails, which is
+    logged and stops nothing."""
+    from cumulus.streaming import streams as SS
+    s = fx.scored(spark, sf)
+    stream = SS.read_stream(spark, SS.stage_files(s, "to_publish"), s.schema)
 
     def failing(batch, batch_id):
         raise ConnectionError("subscriber down")
 
-    SK.publish_alerts(s, subscriber, 0)
-    SK.publish_alerts(s, failing, 1)
-    return spark.read.parquet(path)
+    def publish(batch, batch_id, out):
+        SK.alert_sink(failing, lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}"))(batch, batch_id)
+
+    out = SS.run_foreach_batch(stream.where(F.col("probability") >= BEST_F1_THRESHOLD), "published", publish)
+    return spark.read.parquet(out).drop("batch")
 
 
 @query("history_retention", views=("sensor_raw",), section="2.1", sql=f"""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -36,21 +38,49 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One JVM, so its own folders reach every task."""
+    return spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session leaves it unset (local tests) do we pick a scratch
-    folder ourselves.
-    """
+    Only a local session (tests) may leave it unset; it gets a scratch folder.
+    On a cluster a folder of our choice would be each machine's own disk, so
+    that is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = os.environ.get("CUMULUS_SCRATCH") or "/tmp/cumulus-checkpoints"
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = os.environ.get("CUMULUS_SCRATCH") or os.path.join(tempfile.gettempdir(), "cumulus-checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per session): functions that run
+    there import it by name, wherever the driver has it from."""
+    at = spark.sparkContext.applicationId
+    if at in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="cumulus-"), "cumulus_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "cumulus")):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(at)
+
+
+_SHIPPED: set[str] = set()
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Event-time operators interpret wall-clock timestamps in UTC."""
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):

@@ -3,11 +3,14 @@ alert publishing through a caller-supplied callback."""
 
 from __future__ import annotations
 
+import logging
 from typing import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+LOG = logging.getLogger(__name__)
+
 
 def write_features_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     """Header once per file, columns in the given order, no index."""
@@ -42,10 +45,24 @@ def write_predictions_json(pred: DataFrame, path: str) -> DataFrame:
     return latest
 
 
-def publish_alerts(pred: DataFrame, callback: Callable[[DataFrame, int], None], batch_id: int = 0) -> None:
-    """Hand a result batch to a subscriber; a failing subscriber does not
-    stop the job (its error is swallowed, as the service keeps polling)."""
+def publish_alerts(pred: DataFrame, callback: Callable[[DataFrame, int], None], batch_id: int = 0) -> bool:
+    """Hand a result batch to a subscriber; True if it took it.  A failing
+    subscriber is logged and does not stop the job."""
     try:
         callback(pred, batch_id)
-    except Exception:  # noqa: BLE001 - the service keeps going on delivery errors
-        pass
+    except Exception:  # noqa: BLE001 - whatever a subscriber raises, the job goes on
+        LOG.exception("subscriber failed on batch %s", batch_id)
+        return False
+    return True
+
+
+def alert_sink(*callbacks: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that hands every micro-batch to each subscriber."""
+    def send(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            for c in callbacks:
+                publish_alerts(batch, c, batch_id)
+        finally:
+            batch.unpersist()
+    return send

@@ -37,20 +37,76 @@ def test_stratified_split_share(spark):
         assert abs(r["share"] - 0.25) < 0.04
 
 
-def test_bootstrap_reaches_min_rows(spark):
-    et = ML.edge_training(spark, SF001)
-    n = et.count()
-    out = ML.bootstrap_augment(et, min_rows=n + 37)
-    assert out.count() >= n + 37
-    assert set(r[0] for r in out.select("Weather_Label").distinct().collect()) <= {0, 1, 2, 3}
-
-
-def test_isolation_forest_flags_about_five_percent(spark):
-    et = ML.edge_training(spark, SF001)
-    out = ML.isolation_forest(et, ML.EDGE_FEATURES, n_trees=30)
+def test_folds_are_balanced(spark):
+    df = spark.range(101).select("id", (F.col("id") % 7 == 0).cast("int").alias("y"))
+    got = {}
+    for r in ML.stratified_folds(df, "y", 3, ["id"]).groupBy("y", "fold").count().collect():
+        got.setdefault(r.y, []).append(r["count"])
+    assert all(len(v) == 3 and max(v) - min(v) <= 1 for v in got.values())
+    s = ML.stratified_split(df, "y", 0.25, ["id"]).where("is_test").groupBy("y").count().collect()
+    assert {r.y: r["count"] for r in s} == {0: 22, 1: 4}
+
+
+def test_bootstrap_is_exact_with_repeated_rows(spark):
+    df = spark.createDataFrame([(20.0, 50.0, 1000.0, 1)] * 90 + [(30.0, 60.0, 990.0, 2)] * 10,
+                               "Temp double, Humidity double, Pressure double, Weather_Label int")
+    out = ML.bootstrap_augment(df, min_rows=100 + 37)
+    assert out.count() == 140
+    copies = out.where("Temp not in (20.0, 30.0)")
+    assert copies.count() == 40 and {r[0] for r in copies.select("Weather_Label").distinct().collect()} <= {1, 2}
+    assert ML.bootstrap_augment(df, min_rows=50).count() == 100 and ML.bootstrap_augment(df.limit(0), 50).count() == 0
+
+
+def test_isolation_forest_decision_values(spark):
+    rows = [(f"k{i}", i, 20.0 + (i % 10) / 10, 50.0 + i % 7, 1000.0) for i in range(200)] + [("far", 1, 90.0, 5.0, 800.0)]
+    df = spark.createDataFrame(rows, "location_id string, timestamp long, Temp double, Humidity double, Pressure double")
+    out = ML.isolation_forest(df, ML.EDGE_FEATURES, n_trees=30)
     share = out.agg(F.avg("anomaly")).first()[0]
     assert 0.02 <= share <= 0.08
-    assert out.where((F.col("anomaly_score") <= 0) | (F.col("anomaly_score") >= 1)).count() == 0
+    assert out.where("(anomaly = 1) <> (anomaly_score < 0) and anomaly_score <> 0").count() == 0
+    assert out.orderBy("anomaly_score").first().location_id == "far"
+
+
+def test_boosting_learns_and_reads_back():
+    import pickle
+
+    import numpy as np
+
+    from cumulus.operators import boosting as B
+    rng = np.random.default_rng(1)
+    X = rng.normal(size=(3000, 5))
+    X[::50, 1] = np.nan
+    y = ((X[:, 0] * np.nan_to_num(X[:, 1]) + X[:, 2]) > 0.5).astype(int)
+    trees = B.fit(X[:2000], y[:2000], B.Settings(rounds=60), 3)
+    z = trees.margin(X[2000:])
+    rank = z.argsort().argsort() + 1
+    pos = y[2000:].sum()
+    auc = (rank[y[2000:] == 1].sum() - pos * (pos + 1) / 2) / (pos * (1000 - pos))
+    assert auc > 0.93 and all(len(n) <= 2 * 48 - 1 for n in trees.nodes)
+    assert np.array_equal(pickle.loads(pickle.dumps(trees)).margin(X[2000:]), z)
+    # a plain walk down the nodes gives the same
+    codes = B.bin_codes(X[2000:2050], trees.edges)
+    for i in range(50):
+        total = trees.start
+        for nodes in trees.nodes:
+            at = 0
+            while nodes[at][0] >= 0:
+                f, b, left, right, _ = nodes[at]
+                at = int(right if codes[int(f), i] > b else left)
+            total += nodes[at][4]
+        assert total == pytest.approx(z[i], abs=1e-9)
+    a, b = B.platt(z, y[2000:])
+    assert a > 0
+
+
+def test_ensemble_has_every_model(spark):
+    df = spark.range(600).select(F.col("id").alias("timestamp"), F.lit("a").alias("location_id"),
+                                 (F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 3).cast("double").alias("z"),
+                                 (F.col("id") % 10 > 6).cast("int").alias("cloudburst"))
+    models = ML.calibrated_ensemble(df, ["x", "z"], "cloudburst", rounds=5)
+    assert [(m["seed"], m["fold"]) for m in models] == [(s, f) for s in ML.ENSEMBLE_SEEDS for f in range(3)]
+    p = ML.ensemble_predict(df, models, ["x", "z"], "p")
+    assert p.where("cloudburst = 1").agg(F.min("p")).first()[0] > p.where("cloudburst = 0").agg(F.max("p")).first()[0]
 
 
 def test_weather_class_names_and_confidence(spark):

@@ -31,3 +31,18 @@ def test_exact_quantiles_grouped(spark):
         for q in (0.5, 0.9):
             assert got[(k, q)] == pytest.approx(float(np.quantile(vals, q)), rel=1e-12)
     assert (9, 0.5) not in got
+
+
+def test_auc_of_scores_that_differ_in_the_eighth_digit(spark):
+    df = spark.range(1000).select((F.col("id") * 1e-8).alias("probability"), (F.col("id") >= 500).cast("int").alias("label"))
+    assert ST.roc_auc(df).first().auc == 1.0
+    tied = spark.createDataFrame([(0.5, 1), (0.5, 0), (0.1, 0), (0.9, 1)], "probability double, label int")
+    assert ST.roc_auc(tied).first().auc == 0.875
+    assert ST.roc_auc(tied.where("label = 1")).first().auc is None
+    assert ST.roc_auc(tied.limit(0)).first().auc is None
+
+
+def test_quantiles_over_a_wide_range(spark):
+    df = spark.range(400).select(F.when(F.col("id") == 200, 0.0).otherwise(F.signum(F.col("id") - 200.0) * F.pow(F.lit(10.0), F.abs(F.col("id") - 200) - 100)).alias("v"))
+    got = ST.exact_quantiles(df, "v", [0.25], final_rows=1).first().value
+    assert got == pytest.approx(float(np.quantile([0.0 if i == 200 else (1 if i > 200 else -1) * 10.0 ** (abs(i - 200) - 100) for i in range(400)], 0.25)))
