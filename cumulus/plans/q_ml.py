@@ -13,7 +13,7 @@ from cumulus.plans import composed as C
 from cumulus.plans.common import finish, r
 from cumulus.plans.q_windows import KEY
 from cumulus.plans.registry import query
-from cumulus.session import checkpoint_dir
+from cumulus.session import checkpoint_dir, scratch_dir
 from cumulus.sources import fixtures as fx
 
 A_FEATURES = ["rain_15", "rain_5", "pressure_drop_15", "humidity_change_15", "satellite_precip",
@@ -167,9 +167,8 @@ def q_score_batch(spark, sf):
 def q_model_store(spark, sf):
     """Save ensemble, encoder, threshold and feature list in a new folder of the
     shared scratch, load them back and score with what was loaded."""
-    import uuid
     train, models, thr = _ensemble(spark, sf)
-    path = f"{checkpoint_dir(spark)}/models/{uuid.uuid4().hex}"
+    path = scratch_dir(spark, "models/ensemble")
     ML.save_models(spark, models, path, J.fit_location_codes(fx.sensor_grid(spark, sf)), {"best_f1": thr}, C.FEATURES)
     loaded, meta = ML.load_models(spark, path)
     out = ML.ensemble_predict(train, loaded, meta["features"], "probability")

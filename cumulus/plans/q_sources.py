@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,7 +12,7 @@ from cumulus.plans.common import finish, r
 from cumulus.plans.q_predicates import BEST_F1_THRESHOLD
 from cumulus.plans.q_windows import KEY, error_filters_sql
 from cumulus.plans.registry import query
-from cumulus.session import checkpoint_dir
+from cumulus.session import scratch_dir
 from cumulus.sources import fixtures as fx
 from cumulus.sources import readers as RD
 from cumulus.sources import sinks as SK
@@ -24,7 +23,7 @@ _G = ["location_id", "timestamp", "rainfall_mm", "humidity", "pressure", "temper
 
 
 def _scratch(spark, name):
-    return f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    return scratch_dir(spark, f"stores/{name}")
 
 
 @query("scan_readings", views=("sensor_grid",), section="2.1", sql="SELECT " + ", ".join(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -38,6 +39,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared folder; it goes when the driver ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def is_local(spark: SparkSession) -> bool:
     """One JVM, so its own folders reach every task."""
     return spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")

@@ -13,7 +13,9 @@ from conftest import SF001  # noqa: E402
 
 NAMES = ["history_features_station", "interpolate_limit", "error_filters", "savgol_11_2", "kalman_1d",
          "alert_hysteresis", "roc_auc", "f1_sweep", "insert_or_ignore", "pipeline_a_features", "periodogram",
-         "stuck_sensor", "model_input", "optical_stats", "quantile_thresholds"]
+         "stuck_sensor", "model_input", "optical_stats", "quantile_thresholds", "station_history_state",
+         "alert_hysteresis_stream", "tip_pulse_tumbling", "dedup_stream", "stream_tail_csv", "publish_alerts",
+         "stratified_split", "stratified_folds", "union_augmented", "label_histogram"]
 
 
 @pytest.fixture(scope="module")
