@@ -76,7 +76,8 @@ def ship_package(spark: SparkSession) -> None:
     if at in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="cumulus-"), "cumulus_package.zip")
+    # the real path: a temporary folder may be named relative to a process
+    path = os.path.realpath(os.path.join(tempfile.mkdtemp(prefix="cumulus-"), "cumulus_package.zip"))
     with zipfile.ZipFile(path, "w") as z:
         for folder, _, names in os.walk(os.path.join(root, "cumulus")):
             for n in names:
