@@ -36,7 +36,7 @@ from cumulus.llm.common import for_python, from_python, stored, text_of
 END_ID = 1
 MAX_TOKENS = 4096
 #: Words kept with their ids in a worker, twice (two generations).
-WORDS_KEPT = 300_000
+WORDS_KEPT = 200_000
 #: Punctuation that often closes a word.
 CLOSING = (b".", b",")
 #: Words of lower-case Latin-1 letters, in UTF-8.
@@ -44,6 +44,8 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòó
 PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 #: Texts whose words are looked up together.
 TEXTS_AT_ONCE = 256
+#: Documents whose pieces are handed on together: bounds a worker's memory.
+ROWS_AT_ONCE = 1024
 
 PIECE = "doc_id string, piece int, start long, length long, ids binary, part long, nth long"
 
@@ -128,7 +130,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tok, part = tokenizer(tokenizer_path), TaskContext.get().partitionId()
         seen = np.zeros(max_tokens + 1, dtype=np.int64)
-        for b in batches:
+        for b in (b[at:at + ROWS_AT_ONCE] for b in batches for at in range(0, len(b), ROWS_AT_ONCE)):
             out = []
             for doc_id, ids in zip(b["doc_id"], tok.ids([text_of(t) for t in b["text"]])):
                 for piece, start in enumerate(range(0, len(ids), max_tokens)):
