@@ -5,9 +5,9 @@ backs off to the longest character n-grams of it that are known: the mean over
 its known 4-grams, else 3-grams, 2-grams, characters.
 
 The model is fitted on a bounded sample of labelled documents (FIT_PER_LANG per
-language, drawn by hash) and holds at most MOST_WORDS words and MOST_GRAMS
-n-grams, the most frequent ones, so its size does not follow the corpus.  Every
-document is scored, over its whole text.
+language, drawn by hash) and holds every word and n-gram of the sample with its
+counts in all languages; the sample alone keeps its size from following the
+corpus.  Every document is scored, over its whole text.
 
 Defined results: NULL text and texts without a letter are 'und' with score 0, as
 is everything if nothing was learned; a text of which nothing is known gets the
@@ -22,16 +22,17 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cumulus.llm.common import checked_broadcast, cut, for_python, from_python, text_of
 
 FIT_PER_LANG = 4000
-MOST_WORDS = 100_000
-MOST_GRAMS = 100_000
 LONGEST = 4
 SMOOTH = 0.5
 #: Words that the evidence behind a score counts as, at most.
@@ -73,11 +74,36 @@ def count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 @dataclass
 class Model:
+    """The counts as columns, which stay small in the driver and on the way; each
+    worker makes its index and matrices from them once."""
     langs: list[str]
     prior: np.ndarray
-    #: by size (0: words): gram -> row of its matrix; log frequencies by language
-    index: list[dict[str, int]]
-    logs: list[np.ndarray]
+    #: by size (0: words): grams, their languages (places in langs) and counts
+    counts: list[tuple[pa.ChunkedArray, np.ndarray, np.ndarray]]
+    #: by size: languages x (all counts, kinds)
+    whole: list[np.ndarray]
+
+    @cached_property
+    def tables(self) -> list[tuple[dict[str, int], np.ndarray]]:
+        out = []
+        for (names, lang, times), whole in zip(self.counts, self.whole):
+            index: dict[str, int] = {}
+            rows = np.fromiter((index.setdefault(g, len(index)) for part in names.chunks for g in part.to_pylist()),
+                               np.int64, len(names))
+            n = np.zeros((len(index), len(self.langs)))
+            n[rows, lang] = times
+            out.append((index, np.log((n + SMOOTH) / (whole[:, 0] + SMOOTH * (whole[:, 1] + 1)))))
+        return out
+
+    @property
+    def index(self) -> list[dict[str, int]]:
+        """By size: gram -> row of its matrix."""
+        return [index for index, _ in self.tables]
+
+    @property
+    def logs(self) -> list[np.ndarray]:
+        """By size: log frequencies by language."""
+        return [logs for _, logs in self.tables]
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -92,43 +118,33 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
               .groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")))
     counts = cut(counts)
 
-    def top(which: Column, most: int) -> pd.DataFrame:
-        order = [F.col("n").desc(), "size", "gram", "lang"]
-        return counts.where(which).orderBy(*order).limit(most).toPandas()
-
-    words = top((F.col("size") == 0) & (F.col("n") > 1), MOST_WORDS)
-    parts = top(F.col("size") > 0, MOST_GRAMS)
     totals = {(r.lang, r.size): (r.n, r.kinds) for r in counts.groupBy("lang", "size").agg(
         F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()}
     share = {r.lang: r.docs for r in sizes.collect()}
     langs = sorted({lang for lang, _ in totals})
     prior = np.array([share[x] for x in langs], dtype=float)
     model = Model(langs, prior / max(1.0, prior.sum()), [], [])
-    at = {x: i for i, x in enumerate(langs)}
     for size in range(LONGEST + 1):
-        own = words if size == 0 else parts[parts["size"] == size]
-        index: dict[str, int] = {}
-        rows = [index.setdefault(g, len(index)) for g in own["gram"]]
-        n = np.zeros((len(index), len(langs)))
-        n[rows, [at[x] for x in own["lang"]]] = own["n"]
-        whole = np.array([totals.get((x, size), (0, 0)) for x in langs], dtype=float).reshape(-1, 2)
-        model.index.append(index)
-        model.logs.append(np.log((n + SMOOTH) / (whole[:, 0] + SMOOTH * (whole[:, 1] + 1))))
+        own = counts.where(F.col("size") == size).select("gram", "lang", "n").toArrow()
+        at = pc.index_in(own["lang"], pa.array(langs, own["lang"].type))
+        model.counts.append((own["gram"], at.to_numpy(), own["n"].to_numpy()))
+        model.whole.append(np.array([totals.get((x, size), (0, 0)) for x in langs], dtype=float).reshape(-1, 2))
     return model
 
 
 class Scorer:
     def __init__(self, model: Model):
         self.m, self.unseen = model, {}
+        self.index, self.logs = model.index, model.logs
 
     def backoff(self, word: str) -> np.ndarray:
         got = self.unseen.get(word)
         if got is None:
             got = np.zeros(len(self.m.langs))
             for n in range(LONGEST, 0, -1):
-                rows = [r for g in grams(word, n) if (r := self.m.index[n].get(g)) is not None]
+                rows = [r for g in grams(word, n) if (r := self.index[n].get(g)) is not None]
                 if rows:
-                    got = self.m.logs[n][rows].mean(axis=0)
+                    got = self.logs[n][rows].mean(axis=0)
                     break
             if len(self.unseen) >= UNSEEN_KEPT:
                 self.unseen.clear()
@@ -140,7 +156,7 @@ class Scorer:
         if not self.m.langs or not any(c.isalpha() for w in words for c in w):
             return "und", 0.0
         known, times, total, n = [], [], np.zeros(len(self.m.langs)), 0
-        index = self.m.index[0]
+        index = self.index[0]
         for w, c in words.items():
             n += c
             r = index.get(w)
@@ -150,7 +166,7 @@ class Scorer:
                 known.append(r)
                 times.append(c)
         if known:
-            total += np.asarray(times, dtype=float) @ self.m.logs[0][known]
+            total += np.asarray(times, dtype=float) @ self.logs[0][known]
         if not total.any():
             best = int(np.argmax(self.m.prior))
             return self.m.langs[best], float(self.m.prior[best])

@@ -1,3 +1,5 @@
+import itertools
+
 from pyspark.sql import functions as F
 
 from cumulus.llm import langid
@@ -36,3 +38,17 @@ def test_unseen_words_back_off(spark):
     s = langid.Scorer(langid.fit(df))
     assert "straßengasse" not in s.m.index[0]
     assert s("straßengasse")[0] == "de" and s("streetlane")[0] == "en"
+
+
+def test_whole_vocabulary_is_kept(spark):
+    names = ["".join(x) for x in itertools.islice(itertools.product("abcdefghijklmnop", repeat=5), 110_000)]
+    lots = [(i, " ".join(names[i::50]) + " both", "en") for i in range(50)] * 2  # each word is there twice
+    few = [(100, "zug zuge both", "de")]
+    model = langid.fit(spark.createDataFrame(lots + few, "doc_id long, text string, lang string"))
+    assert set(model.index[0]) == {*names, "both", "zug", "zuge"}
+    assert {"^zug", "zuge", "uge$"} <= set(model.index[4])
+    de, en = (model.logs[0][:, model.langs.index(x)] for x in ("de", "en"))
+    zug, both = model.index[0]["zug"], model.index[0]["both"]
+    assert de[zug] == de[both] > de[model.index[0][names[0]]]
+    assert en[both] > en[model.index[0][names[0]]] > en[zug]
+    assert langid.Scorer(model)("zug")[0] == "de"
