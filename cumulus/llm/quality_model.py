@@ -5,9 +5,11 @@ Expectation-maximisation estimates, without any label, how often each labeller
 gives each vote to good and to bad documents (its accuracies) and how many
 documents are good; it runs on the counts of vote patterns over all documents, of
 which there are at most 3^labellers.  Most labellers know one kind of bad document
-only, so they don't agree on bad ones; what ties the class together is the belief
-that a bad vote is rarely wrong (on at most MOST_WRONG of the good documents).  Each pattern's posterior then labels documents softly, and a
-logistic model over hashed words and word shapes is trained on them, from a
+only, so they don't agree on bad ones; so bad documents are a mixture of one kind
+per labeller, and Dirichlet priors say what a kind is: its labeller mostly votes bad
+on it, and a bad vote is rarely wrong on good documents.  The priors count as a share
+of the corpus and bound nothing: rounds move every pattern and every accuracy.  Each
+pattern's posterior then labels documents softly, and a logistic model over hashed words and word shapes is trained on them, from a
 sample of at most FIT_ROWS documents drawn by hash.  Every document is scored,
 over its whole text.
 
@@ -34,11 +36,14 @@ from cumulus.llm.quality_rules import NAMES, measure
 
 BITS = 16
 FIT_ROWS = 12_000
-ROUNDS = 50
+ROUNDS = 200
 KEEP = 0.5
-MOST_WRONG = 0.002
-#: Belief in documents that no labeller votes against.
-UNDOUBTED = 0.95
+#: Where EM starts: belief in documents that no labeller votes against, and in others.
+UNDOUBTED, DOUBTED = 0.95, 0.1
+#: Means of the priors: bad votes on good documents, of a kind's own labeller on it.
+WRONG, RIGHT = 0.002, 0.9
+#: Weights of these priors, as shares of the corpus.
+GOOD_WEIGHT, KIND_WEIGHT = 0.1, 0.05
 #: A bin counts as much as that many equal words.
 BIN_WEIGHT = 200
 #: Length of every feature vector.
@@ -92,25 +97,41 @@ class WeakLabels:
 
 
 def estimate(counts: dict[int, int], rounds: int = ROUNDS) -> WeakLabels:
-    """EM over vote patterns; starts from doubt where any labeller votes bad.  Patterns
-    without a bad vote keep their belief: no labeller knows anything against them."""
+    """EM over vote patterns with the classes good and one kind of bad per labeller;
+    starts from doubt where any labeller votes bad."""
     codes = np.array(sorted(counts), dtype=np.int64)
     n = np.array([counts[c] for c in codes], dtype=float)
     v = unpack(codes)
-    one_hot = v[:, :, None] == np.arange(3)
-    doubt = (v == BAD).any(axis=1)
-    p = np.where(doubt, 0.1, UNDOUBTED)
-    prior, accuracy = 0.9, np.full((len(LABELLERS), 2, 3), 1 / 3)
-    for _ in range(rounds if len(codes) else 0):
-        prior = float(np.clip((n * p).sum() / n.sum(), 0.01, 0.99))
-        for y, w in enumerate((n * (1 - p), n * p)):
-            # one imaginary document spread over the votes keeps all of them possible
-            accuracy[:, y, :] = (np.einsum("i,ijk->jk", w, one_hot) + 1 / 3) / (w.sum() + 1)
-        accuracy[:, 1, BAD] = np.minimum(accuracy[:, 1, BAD], MOST_WRONG)
-        like = np.einsum("ijk,jyk->iy", one_hot, np.log(accuracy))
-        odds = like[:, 1] + np.log(prior) - like[:, 0] - np.log(1 - prior)
-        p = np.where(doubt, 1 / (1 + np.exp(-np.clip(odds, -700, 700))), UNDOUBTED)
-    return WeakLabels(prior, accuracy, dict(zip(codes.tolist(), p.tolist())))
+    k = len(LABELLERS)
+    one_hot = (v[:, :, None] == np.arange(3)).astype(float)
+    if not len(codes):
+        return WeakLabels(0.9, np.full((k, 2, 3), 1 / 3), {})
+    base = (np.einsum("i,ijk->jk", n, one_hot) + 1) / (n.sum() + 3)
+    others = base[:, NONE:] / base[:, NONE:].sum(axis=1, keepdims=True)
+
+    def votes_with(bad: float) -> np.ndarray:
+        return np.hstack([np.full((k, 1), bad), (1 - bad) * others])
+
+    # class x labeller x vote; one imaginary document says how other labellers vote on a kind
+    imagined = np.concatenate([GOOD_WEIGHT * n.sum() * votes_with(WRONG)[None], np.repeat(base[None], k, axis=0)])
+    own = np.arange(k)
+    imagined[own + 1, own] = KIND_WEIGHT * n.sum() * votes_with(RIGHT)
+    bad = v == BAD
+    doubt = bad.any(axis=1, keepdims=True)
+    p = np.where(doubt, DOUBTED, UNDOUBTED)
+    kinds = np.where(doubt, bad / np.maximum(bad.sum(axis=1, keepdims=True), 1), 1 / k)
+    p = np.hstack([p, (1 - p) * kinds])
+    for _ in range(rounds):
+        w = n[:, None] * p
+        share = (w.sum(axis=0) + 1 / (k + 1)) / (n.sum() + 1)
+        accuracy = np.einsum("iz,ijk->zjk", w, one_hot) + imagined
+        accuracy /= accuracy.sum(axis=2, keepdims=True)
+        like = np.einsum("ijk,zjk->iz", one_hot, np.log(accuracy)) + np.log(share)
+        p = np.exp(like - like.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+    of_bad = np.einsum("z,zjk->jk", share[1:] / share[1:].sum(), accuracy[1:])
+    return WeakLabels(float(np.clip(share[0], 0.01, 0.99)), np.stack([of_bad, accuracy[0]], axis=1),
+                      dict(zip(codes.tolist(), p[:, 0].tolist())))
 
 
 SHAPES = [(re.compile(rb"[A-Z]+"), b"A"), (re.compile(rb"[a-z\x80-\xff]+"), b"a"), (re.compile(rb"[0-9]+"), b"0")]

@@ -101,6 +101,27 @@ def test_em_finds_labellers_that_know_one_kind_each():
     assert quality_model.estimate({}).posterior == {}
 
 
+def test_em_moves_undoubted_patterns_and_false_bad_votes():
+    k = len(quality_model.LABELLERS)
+
+    def code(**votes):
+        v = [quality_model.GOOD] * k
+        for j, vote in votes.items():
+            v[int(j[1:])] = vote
+        return int(np.array(v) @ 3 ** np.arange(k - 1, -1, -1))
+
+    bad, none = quality_model.BAD, quality_model.NONE
+    # kind 2 comes with abstentions of 3 and 4; labeller 5 is wrong on 3 % of otherwise clean documents,
+    # right only where 6 and 7 abstain
+    clean, near = code(), code(_2=none, _3=none, _4=none)
+    counts = {clean: 8400, near: 60, code(_2=bad, _3=none, _4=none): 900,
+              code(_5=bad): 280, code(_5=bad, _6=none, _7=none): 360}
+    weak = quality_model.estimate(counts)
+    assert weak.posterior[clean] > 0.97 and weak.posterior[near] < 0.5
+    assert weak.posterior[code(_2=bad, _3=none, _4=none)] < 0.01
+    assert weak.accuracy[5, 1, bad] > 0.02
+
+
 def test_classifier(spark):
     rnd = random.Random(2)
     words = ["".join(rnd.choices("abcdefgh", k=5)) for _ in range(400)]
