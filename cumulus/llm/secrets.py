@@ -4,8 +4,9 @@ Base kinds come from three patterns (assignments, access keys, long hex).  The
 novelty kind asks of every other string that stands in a sensitive context how
 many bytes it costs a compressor that already knows the text around it and
 dictionaries of code and identifiers: words, paths and placeholders cost little,
-random keys cost nearly their entropy.  The marginal cost of a candidate is
+random keys cost nearly the entropy of their alphabet.  The marginal cost of a candidate is
 len(zstd(context + candidate)) - len(zstd(context)), both with the dictionary.
+A string once found in a text is found again wherever it follows a cue.
 
 Defined results: NULL and empty texts have no spans; every row gives one row;
 texts are read whole, whatever their length; other columns are not looked at.
@@ -13,6 +14,7 @@ texts are read whole, whatever their length; other columns are not looked at.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -43,6 +45,15 @@ CONTEXT = 512
 #: Marginal bytes per character from which a candidate is news.  Base-64 noise
 #: costs 0.75 or more, hex noise 0.5, words and paths 0.1 to 0.4.
 NOVEL = 0.6
+#: Noise of a small alphabet (digits, hex) costs less than that among other keys.  It
+#: is measured apart from them, against this share of its alphabet's entropy.
+SMALL, SHARE = 0.5, 0.75
+ALPHABETS = ((re.compile(r"[0-9]+"), 10), (re.compile(r"[0-9a-f]+|[0-9A-F]+"), 16),
+             (re.compile(r"[a-z]+|[A-Z]+"), 26), (re.compile(r"[0-9a-z]+|[0-9A-Z]+"), 36),
+             (re.compile(r"[a-zA-Z]+"), 52), (re.compile(r"[0-9a-zA-Z]+"), 62))
+#: Parts of a name without digits; they are this long on average, those of noise shorter.
+PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+PART_LENGTH = 3.5
 
 #: What code and configuration commonly say: primes the compressor.
 IDENTIFIERS = (
@@ -68,6 +79,7 @@ class Novelty:
 
     def __init__(self, dictionary: str = IDENTIFIERS):
         import zstandard
+        self.dictionary = dictionary
         raw = zstandard.ZstdCompressionDict(dictionary.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.press = zstandard.ZstdCompressor(level=19, dict_data=raw, write_checksum=False,
                                               write_content_size=False)
@@ -77,6 +89,21 @@ class Novelty:
         return (len(self.press.compress(before + candidate.encode("utf-8", "replace")))
                 - len(self.press.compress(before)))
 
+    def bytes_apart(self, context: str, candidate: str) -> float:
+        """With the context as part of the dictionary: only what is repeated gets
+        cheaper, not what merely has the letters of the text before."""
+        import zstandard
+        raw = zstandard.ZstdCompressionDict((self.dictionary + context).encode("utf-8", "replace"),
+                                            dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        press = zstandard.ZstdCompressor(level=3, dict_data=raw, write_checksum=False, write_content_size=False)
+        return len(press.compress(candidate.encode("utf-8", "replace"))) - len(press.compress(b""))
+
+
+def entropy(candidate: str) -> float:
+    """Bytes per character of noise in the smallest alphabet that holds the candidate."""
+    size = next((n for pattern, n in ALPHABETS if pattern.fullmatch(candidate)), 64)
+    return math.log2(size) / 8
+
 
 class Scanner:
     def __init__(self, novel: float = NOVEL):
@@ -92,6 +119,7 @@ class Scanner:
         """All spans (kind, start, end), by start, then kind as listed."""
         found = self.base(text)
         taken, done = sorted((a, b) for _, a, b in found), 0
+        news: set[str] = set()
         for cue in CUE.finditer(text):
             for m in CANDIDATE.finditer(text, max(done, cue.end())):
                 if m.start() > cue.end() + REACH:
@@ -99,16 +127,22 @@ class Scanner:
                 done = m.end()
                 if any(a < m.end() and m.start() < b for a, b in taken):
                     continue
-                if self.is_news(text, m.start(), m.end()):
+                if m.group() in news or self.is_news(text, m.start(), m.end()):
+                    news.add(m.group())
                     found.append(("novel", m.start(), m.end()))
         return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
     def is_news(self, text: str, start: int, end: int) -> bool:
         candidate = text[start:end]
-        if not any(c.isdigit() for c in candidate) or not any(c.isalpha() for c in candidate):
-            return False
-        cost = self.novelty.bytes_of(text[max(0, start - CONTEXT):start], candidate)
-        return cost >= self.novel * len(candidate)
+        if not any(c.isdigit() for c in candidate):
+            parts = PART.findall(candidate)
+            if not parts or sum(map(len, parts)) >= PART_LENGTH * len(parts):
+                return False
+        before = text[max(0, start - CONTEXT):start]
+        if self.novelty.bytes_of(before, candidate) >= self.novel * len(candidate):
+            return True
+        share = entropy(candidate)
+        return share <= SMALL and self.novelty.bytes_apart(before, candidate) >= SHARE * share * len(candidate)
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

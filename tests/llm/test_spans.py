@@ -80,6 +80,31 @@ def test_novelty():
     assert s.spans(f"{noise} is known here; bearer {noise}") == []
 
 
+def test_novelty_of_key_lists_letters_and_repeats():
+    import random
+    rnd = random.Random(3)
+    s = secrets.Scanner()
+
+    def found(text, key):
+        return [(a, b) for k, a, b in s.spans(text) if k == "novel" and text[a:b] == key]
+
+    def keys(alphabet, size, n):
+        return ["".join(rnd.choices(alphabet, k=size)) for _ in range(n)]
+
+    upper_hex = keys("0123456789ABCDEF", 32, 40)
+    listing = "\n".join("token " + k for k in upper_hex)
+    assert all(found(listing, k) for k in upper_hex)
+    letters = keys("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 24, 40)
+    assert all(found(f"the token is {k} now", k) for k in letters)
+    digits = keys("0123456789", 20, 40)  # 24 would be hex of the base kind
+    assert all(found(f"the token is {k} now", k) for k in digits)
+    again = upper_hex[0]
+    assert len(found(f"token {again}\nsecret {again}\ntoken {again}", again)) == 3
+    for name in ("getUserNameFromDatabase", "/usr/local/share/applications", "internationalization",
+                 "refresh_token_access_token"):
+        assert not found(f"the token is {name} now", name)
+
+
 def test_spans_per_row(spark):
     rows = [(1, None), (2, ""), (None, "a@b.c"), (4, "+1 (555) 010-9999"), (4, "+1 (555) 010-9999"),
             (5, "x " * 60000 + "a@b.c token=abcdef123")]
