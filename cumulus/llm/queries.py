@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from cumulus.llm import (chat, dedup, jaccard, langid, mixing, packing, pii, quality_model, quality_rules,
-                         secrets)
+from cumulus.llm import (bpe, chat, dedup, jaccard, langid, mixing, packing, pii, quality_model, quality_rules,
+                         runs, secrets, trie)
 from cumulus.llm.common import stored, table
 
 
@@ -169,6 +169,64 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pred.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, and the texts that they decode to."""
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER)
+    return bpe.decode(encoded, TOKENIZER).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in a tenth of the documents, by the id's hash, a stretch of words
+    is repeated from some word on to the end, with blanks between words.  Documents
+    without an id stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    blank = F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     ")
+    words = F.array_remove(F.split(blank, " "), "")
+    hit = docs.select("doc_id", "text", (h % 10 == 0).alias("hit"), g.alias("g")).withColumn(
+        "words", F.when(F.col("hit"), words))
+    n = F.size("words")
+    cut = hit.withColumn("a", (F.col("g") % n).cast("int")).withColumn(
+        "p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    root = F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(root, times)), F.lit(1), n - F.col("a"))
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return cut.select("doc_id", F.when(F.col("hit") & (n > 0), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in all documents, some with planted ones."""
+    found = runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = found.withColumn("best", runs.greatest(F.col("runs")))
+    told = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        ",", *[r[c].cast("string") for c in ("start", "length", "period")])), "\n")
+    told = F.when(F.size("runs") > 0, F.concat(told, F.lit("\n"))).otherwise("")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(told.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def with_shared_starts(lists: DataFrame) -> DataFrame:
+    """Each conversation c with its first h turns taken from conversation c - c % 20;
+    h is c's hash modulo 4."""
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    starts = lists.select(F.col("conv_id").alias("first"), F.slice("turns", 1, 3).alias("start"))
+    joined = lists.withColumn("first", F.col("conv_id") - F.col("conv_id") % 20).join(starts, "first", "left")
+    none = F.array().cast("array<string>")
+    own = F.slice("turns", h + 1, F.greatest(F.size("turns") - h, F.lit(0)))
+    return joined.select("conv_id", F.concat(F.coalesce(F.slice("start", F.lit(1), h), none), own).alias("turns"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt with shared starts."""
+    return trie.prefix_trie(with_shared_starts(trie.turn_lists(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_secret_scan": op2_secret_scan,
@@ -180,5 +238,8 @@ QUERIES = {
     "op8_mix": op8_mix,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_language_id": op10_language_id,
+    "op11_bpe": op11_bpe,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES = {"op3_exact_dedup": OP3_SQL, "op4_chat_format": OP4_SQL, "op8_mix": OP8_SQL}
