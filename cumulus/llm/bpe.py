@@ -1,6 +1,7 @@
 """Byte-pair encoding and decoding of whole texts by a tokenizer file.
 
-Most texts are encoded whole, many texts per task.  What the tokenizer's rules do
+Most texts are encoded in the task that reads them; where the rules let white space
+part a text, word by word, and words that come again are looked up.  What the rules do
 not split (a base64 block, a genome, a page without white space) is one piece
 for the merges, however long.  Such a piece is encoded by tree concatenation:
 
@@ -32,6 +33,8 @@ import itertools
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,12 +47,31 @@ from cumulus.llm.common import for_python, from_python, stored, text_of
 LONG = 1024
 #: Tokens on either side of a join that its first window takes.
 FIRST_WINDOW = 8
-#: Words that the library keeps with their tokens in a worker.
-WORDS_KEPT = 200_000
+#: Words kept with their ids in a worker, twice (two generations).
+WORDS_KEPT = 300_000
+#: Words of so many bytes are kept when they are met first.
+SHORT = 8
+#: Marks for longer words seen once, in a worker; a word is kept when it is met again.
+MARKS = 1 << 22
 #: Texts that are handed on together: bounds a worker's memory.
 ROWS_AT_ONCE = 512
 
 IDS = np.dtype("<u4")
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are packed as little-endian 32-bit numbers")
+
+# The split rule and its companions with which words can be encoded apart.
+WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+#: Lower-case Latin-1 letters, and words of them in UTF-8.
+LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+#: Characters other than Latin letters and common punctuation.  Without them lower-casing
+#: ASCII letters before composing gives the same text; else a small letter could take a
+#: mark that its capital can't (w and a ring).
+COMPOSING = re.compile("[^\0-\u02ff\u2010-\u2027]")
+#: Punctuation that often closes a word.
+CLOSING = (b".", b",")
 
 
 def merges_in_order(model: dict) -> bool:
@@ -66,6 +88,65 @@ def merges_in_order(model: dict) -> bool:
     return all(made.get(part, -1) < rank for rank, m in enumerate(merges) for part in m)
 
 
+def parts_at_white_space(rules: dict) -> bool:
+    """Whether a text's ids are its words' ids in order, words being what stands between
+    ASCII white space.  So it is for rules that compose characters, lower-case, and
+    split off runs of letters, single digits and runs of anything else but white space:
+    none of it looks across white space."""
+    norm, pre = rules.get("normalizer") or {}, rules.get("pre_tokenizer") or {}
+    norms, pres = norm.get("normalizers", []), pre.get("pretokenizers", [])
+    return ([n["type"] for n in norms] == NORMALIZERS
+            and norms[1]["pattern"] == {"Regex": r"\s+"} and norms[1]["content"] == " "
+            and [p["type"] for p in pres] == ["Split", "ByteLevel"]
+            and pres[0]["pattern"] == {"Regex": WORD_RULE} and pres[0]["behavior"] == "Removed" and pres[0]["invert"]
+            and not pres[1]["add_prefix_space"] and not pres[1]["use_regex"]
+            and not any(t["content"].split() != [t["content"]] for t in rules.get("added_tokens") or []))
+
+
+class Words(dict):
+    """Ids (as bytes) of words in UTF-8.  A long word is kept when it is met the
+    second time; two generations bound the memory, and words in use stay."""
+
+    def __init__(self, tok, model):
+        from tokenizers.pre_tokenizers import ByteLevel
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.tok, self.model = tok, model
+        self.spelled = {ord(c): spell(c)[0][0] for c in LETTERS}
+        self.old: dict[bytes, bytes] = {}
+        self.marks, self.marked = bytearray(MARKS), 0
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            if word.isalpha() and word.islower():
+                # one piece for the merges: straight to the model
+                ids = array("I", [t.id for t in self.model.tokenize(word.decode())]).tobytes()
+            else:
+                ids = self.encode(word)
+            slot = hash(word) & MARKS - 1
+            if len(word) > SHORT and not self.marks[slot]:
+                self.marks[slot] = 1
+                self.marked += 1
+                if self.marked > MARKS // 2:
+                    self.marks, self.marked = bytearray(MARKS), 0
+                return ids
+        if len(self) >= WORDS_KEPT:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def encode(self, word: bytes) -> bytes:
+        if word[-1:] in CLOSING and word[-2:-1].isalnum():
+            # letters and digits end before punctuation, whatever it is
+            return self[word[:-1]] + self[word[-1:]]
+        if PLAIN.fullmatch(word):
+            ids = [t.id for t in self.model.tokenize(word.decode().translate(self.spelled))]
+        else:
+            ids = self.tok.encode_batch_fast([word.decode()], add_special_tokens=False)[0].ids
+        return array("I", ids).tobytes()
+
+
 class Node:
     """The encoding of the piece's characters from `lo` on: ids and where tokens end."""
 
@@ -98,24 +179,35 @@ class Codec:
         rules = json.loads(self.tok.to_str())
         model = rules["model"]
         self.model = self.tok.model
-        if hasattr(self.model, "_resize_cache"):
-            self.model._resize_cache(WORDS_KEPT)
         added = rules.get("added_tokens") or []
         plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added)
         self.joinable = plain and self.tok.pre_tokenizer is not None and merges_in_order(model)
         self.special = {t["content"]: t["id"] for t in added}
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.specials = re.compile(f"({'|'.join(names)})") if names else None
-        suffix = len(model.get("end_of_word_suffix") or "")
+        self.low_specials = [s.lower().encode() for s in self.special]
+        self.words = Words(self.tok, self.model) if plain and parts_at_white_space(rules) else None
+        self.suffix = len(model.get("end_of_word_suffix") or "")
         size = self.tok.get_vocab_size()
-        self.spelled = [self.tok.id_to_token(i) or "" for i in range(size)]
-        self.chars = np.array([len(s) for s in self.spelled], dtype=np.int64)
-        self.suffix = suffix
-
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=IDS) for e in got]
+        self.chars = np.array([len(self.tok.id_to_token(i) or "") for i in range(size)], dtype=np.int64)
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as little-endian unsigned 32-bit numbers."""
+        out: list[bytes] = [b""] * len(texts)
+        rest = range(len(texts))
+        if self.words is not None:
+            rest, ids_of = [], self.words.__getitem__
+            for n, text in enumerate(texts):
+                raw = text.encode("utf-8", "replace")
+                low = raw.lower()
+                if any(s in low for s in self.low_specials):
+                    rest.append(n)
+                else:
+                    words = raw if COMPOSING.search(text) else low
+                    out[n] = b"".join(map(ids_of, words.split()))
+        for n, e in zip(rest, self.tok.encode_batch_fast([texts[n] for n in rest], add_special_tokens=False)):
+            out[n] = array("I", e.ids).tobytes()
+        return out
 
     def merged(self, piece: str) -> np.ndarray:
         """Ids of one piece by the merges alone."""
@@ -204,8 +296,7 @@ def _encode_whole(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         c = codec(path)
         for b in _lots(batches):
-            ids = c.whole([text_of(t) for t in b["text"]])
-            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": [i.tobytes() for i in ids]})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": c.whole([text_of(t) for t in b["text"]])})
 
     return docs.mapInPandas(run, "doc_id string, ids binary")
 
@@ -219,7 +310,7 @@ def _split(docs: DataFrame, path: str, long: int) -> DataFrame:
 
     def parts(c: Codec, row: int, doc_id, text: str) -> Iterator[tuple]:
         if not c.joinable:
-            yield row, doc_id, 0, 0, 0, 0, None, c.whole([text])[0].tobytes()
+            yield row, doc_id, 0, 0, 0, 0, None, c.whole([text])[0]
             return
         place, done = 0, []
         for p in c.pieces(text):

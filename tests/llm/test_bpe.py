@@ -84,6 +84,43 @@ def test_same_ids_and_text_as_the_library(spark, path, long):
     assert sorted(have, key=key) == sorted(want, key=key)
 
 
+def test_words_alone_are_the_text():
+    """Lower-casing ASCII letters before composing, and words apart, change no id."""
+    codec, tok = bpe.codec(WORD), library(WORD)
+    marks = [chr(c) for c in [*range(0x300, 0x370), 0x1AB0, 0x20D0, 0x3099, 0xFE20]]
+    text = " ".join(f"x{c}{m}y.  {c.lower()}{m}\u0323," for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for m in marks)
+    odd = "\x1c \x85 \xa0 \u2028 \u1680 a\xa0b\x0bc \x0c\x1d it's. IT'S, 'LL 9. \u0130. \u212a \u0301. \u0301a"
+    some = [text, odd, "a <|ENDOFTEXT|> b", "<|endoftext|><|startoftext|>", "".join(map(chr, range(1, 0x2FFF)))]
+    for _ in range(3):  # unseen, seen once, kept
+        assert [np.frombuffer(i, "<u4").tolist() for i in codec.whole(some)] == [
+            tok.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_few_words_are_kept(monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS_KEPT", 5)
+    codec, tok = bpe.Codec(WORD), library(WORD)
+    some = [" ".join(f"w{n * k % 17}." for k in range(40)) for n in range(30)]
+    assert [np.frombuffer(i, "<u4").tolist() for i in codec.whole(some)] == [
+        tok.encode(t, add_special_tokens=False).ids for t in some]
+    assert len(codec.words) + len(codec.words.old) <= 10
+
+
+def test_random_characters():
+    codec, tok = bpe.Codec(WORD), library(WORD)
+    rnd = random.Random(2)
+    some = ["".join(rnd.choices(["a", "B", "W", "é", "É", ".", ",", " ", "\n", "'s", "1", "\x1c", "\u0301", "\u030a", "٣"],
+                                k=12)) for _ in range(2000)]
+    assert [np.frombuffer(i, "<u4").tolist() for i in codec.whole(some)] == [
+        tok.encode(x, add_special_tokens=False).ids for x in some]
+
+
+def test_other_rules_are_not_taken_apart():
+    rules = json.loads(library(WORD).to_str())
+    assert bpe.parts_at_white_space(rules)
+    assert not bpe.parts_at_white_space(json.loads(library(BYTE).to_str()))
+    assert not bpe.parts_at_white_space({**rules, "normalizer": None})
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.decode(bpe.encode(docs, WORD), WORD).collect() == []
