@@ -13,6 +13,8 @@
    and a rank's place in the plan is arithmetic.  Only ids, lengths and ranks
    are shuffled; tokens are not.
 
+Ids are those of the tokenizer file with add_special_tokens=False (see bpe.py).
+
 Defined results: NULL and empty text is one piece with the end id alone; repeated
 rows and NULL ids are packed like any other row; an empty table gives an empty
 result; other columns are not looked at.
@@ -20,9 +22,6 @@ result; other columns are not looked at.
 
 from __future__ import annotations
 
-import os
-import re
-from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -31,113 +30,36 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from cumulus.llm import bpe
 from cumulus.llm.common import for_python, from_python, stored, text_of
 
 END_ID = 1
 MAX_TOKENS = 4096
-#: Words kept with their ids in a worker, twice (two generations).
-WORDS_KEPT = 200_000
-#: Punctuation that often closes a word.
-CLOSING = (b".", b",")
-#: Words of lower-case Latin-1 letters, in UTF-8.
-LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
-PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
-#: Texts whose words are looked up together.
-TEXTS_AT_ONCE = 256
 #: Documents whose pieces are handed on together: bounds a worker's memory.
-ROWS_AT_ONCE = 1024
+ROWS_AT_ONCE = 512
+#: Bytes of a token id.
+WIDTH = 4
 
 PIECE = "doc_id string, piece int, start long, length long, ids binary, part long, nth long"
 
 
-class WordTokenizer:
-    """Ids of whole texts through the tokenizer file, each word encoded once.
-
-    The vocabulary's rules lower-case, and never join characters across white
-    space, nor a letter or digit with punctuation after it.  So a text's ids are
-    its words' ids in order, and a word's closing point or comma is encoded apart.
-    Strings of special tokens are ordinary text."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
-        self.kind = "H" if self.tok.get_vocab_size() <= 1 << 16 else "I"
-        self.end = array(self.kind, [END_ID]).tobytes()
-        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.spelled = {ord(c): spell(c)[0][0] for c in LETTERS}
-        # two generations of word -> packed ids: when the young one is full it
-        # becomes the old one, so frequent words stay
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        """Packed ids of each word.  Words of plain lower-case letters are one piece
-        for the merges, so they go to the model without the steps before it."""
-        out: list[bytes] = [b""] * len(words)
-        rest, merge = [], self.tok.model.tokenize
-        for i, w in enumerate(words):
-            if PLAIN.fullmatch(w):
-                out[i] = array(self.kind, [t.id for t in merge(w.decode().translate(self.spelled))]).tobytes()
-            else:
-                rest.append(i)
-        got = self.tok.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False)
-        for i, e in zip(rest, got):
-            out[i] = array(self.kind, e.ids).tobytes()
-        return out
-
-    def learn(self, words: set[bytes]) -> None:
-        """Afterwards the young generation has all these words."""
-        new = words - self.young.keys()
-        if len(self.young) + len(new) > WORDS_KEPT:
-            self.old, self.young, new = self.young, {}, words
-        known = new & self.old.keys()
-        self.young.update((w, self.old[w]) for w in known)
-        new = new - known
-        stems = {w: w[:-1] for w in new if w[-1:] in CLOSING and w[-2:-1].isalnum()}
-        todo = list(((new - stems.keys()) | set(stems.values()) | set(CLOSING)) - self.young.keys())
-        self.young.update(zip(todo, self.encode(todo)))
-        self.young.update((w, self.young[stem] + self.young[w[-1:]]) for w, stem in stems.items())
-
-    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text, the end id included."""
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            split = [t.encode("utf-8", "replace").lower().split() for t in texts[at:at + TEXTS_AT_ONCE]]
-            distinct = set().union(*split)
-            if not distinct <= self.young.keys():
-                self.learn(distinct)
-            for words in split:
-                packed = b"".join(map(self.young.__getitem__, words)) + self.end
-                yield np.frombuffer(packed, dtype=np.dtype(self.kind)).astype("<u4")
-
-
-#: One tokenizer per file and worker process: what a task learned serves the next.
-_OPEN: dict[str, WordTokenizer] = {}
-
-
-def tokenizer(path: str) -> WordTokenizer:
-    if path not in _OPEN:
-        _OPEN[path] = WordTokenizer(path)
-    return _OPEN[path]
-
-
 def tokenize(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of all documents; ids are little-endian unsigned 32-bit numbers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok, part = tokenizer(tokenizer_path), TaskContext.get().partitionId()
+        codec, part = bpe.codec(tokenizer_path), TaskContext.get().partitionId()
+        end = END_ID.to_bytes(WIDTH, "little")
         seen = np.zeros(max_tokens + 1, dtype=np.int64)
         for b in (b[at:at + ROWS_AT_ONCE] for b in batches for at in range(0, len(b), ROWS_AT_ONCE)):
             out = []
-            for doc_id, ids in zip(b["doc_id"], tok.ids([text_of(t) for t in b["text"]])):
-                for piece, start in enumerate(range(0, len(ids), max_tokens)):
-                    own = ids[start:start + max_tokens]
-                    out.append((doc_id, piece, start, len(own), own.tobytes(), part,
-                                seen[len(own)]))
-                    seen[len(own)] += 1
+            for doc_id, ids in zip(b["doc_id"], codec.whole([text_of(t) for t in b["text"]])):
+                ids += end
+                for piece, start in enumerate(range(0, len(ids) // WIDTH, max_tokens)):
+                    own = ids[start * WIDTH:(start + max_tokens) * WIDTH]
+                    n = len(own) // WIDTH
+                    out.append((doc_id, piece, start, n, own, part, seen[n]))
+                    seen[n] += 1
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids", "part", "nth"])
 
     return from_python(for_python(docs, id_col, text_col).mapInPandas(run, PIECE))

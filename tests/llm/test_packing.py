@@ -3,7 +3,6 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
-import pytest
 from hypothesis import given, settings, strategies as st
 
 from cumulus.llm import packing
@@ -54,7 +53,6 @@ def test_close_to_the_bound():
 def test_packed_documents(spark):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     rnd = random.Random(1)
     words = ["the", "Then,", "éa", "Éa.", "x9", "don't", "a.b.", "...", "日本", "<|endoftext|>", "İ", "ß,", "1.", "²."]
     rows = [(i, " ".join(rnd.choices(words, k=rnd.randint(0, 60)))) for i in range(60)]
@@ -81,18 +79,3 @@ def test_packed_documents(spark):
     whole = packing.sequences(packed).collect()
     assert len(whole) == len(bins) and all(len(r.ids) == 4 * r.length for r in whole)
     assert packing.packed_pieces(df.limit(0), PATH).count() == 0
-
-
-def test_small_word_memory(monkeypatch):
-    t = packing.WordTokenizer(PATH)
-    rnd = random.Random(2)
-    texts = ["".join(rnd.choices(["a", "B", "é", "É", ".", ",", " ", "\n", "'s", "1", "\x1c", "́", "٣"], k=12)) for _ in range(800)]
-    monkeypatch.setattr(packing, "WORDS_KEPT", 20)
-    monkeypatch.setattr(packing, "TEXTS_AT_ONCE", 7)
-    assert [x.tolist() for x in t.ids(texts)] == [t.tok.encode(x, add_special_tokens=False).ids + [1] for x in texts]
-
-
-@pytest.mark.parametrize("text", ["Hello, World.", "a,b c., 'll .", "ǅ ŉ ﬁ"])
-def test_words_are_independent(text):
-    t = packing.WordTokenizer(PATH)
-    assert next(iter(t.ids([text]))).tolist() == t.tok.encode(text, add_special_tokens=False).ids + [1]
