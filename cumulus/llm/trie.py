@@ -40,7 +40,7 @@ from pyspark.sql.types import LongType
 from cumulus.llm.common import stored, word_count
 
 #: Turns in a container that is swept; larger ones are burst.
-MOST = 4096
+MOST = 1024
 #: Characters of a turn in a path: its id (MD5) and its number of words.
 ID, WORDS = 32, 8
 TURN = ID + WORDS
@@ -153,9 +153,9 @@ def burst(found: DataFrame, most: int) -> tuple[DataFrame, DataFrame | None, lis
     the head's depth hd, and the burst container `up` and its round in which they came
     there.  ended: entries that end on a burst path.  chains: by round, the containers
     burst then, with the path they were burst along."""
-    work = found.select("seq", "path", "n", "low", F.lit(0).cast("long").alias("hd"),
-                        F.md5(F.lit("")).alias("head"), F.lit(None).cast("string").alias("up"),
-                        F.lit(-1).alias("round"))
+    work = stored(found.select("seq", "path", "n", "low", F.lit(0).cast("long").alias("hd"),
+                               F.md5(F.lit("")).alias("head"), F.lit(None).cast("string").alias("up"),
+                               F.lit(-1).alias("round")), "entries")
     settled, ended, chains = [], [], []
     while True:
         drawn = F.min_by("path", F.xxhash64(F.col("seq"), F.lit(len(chains))))
