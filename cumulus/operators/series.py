@@ -217,15 +217,13 @@ def scans(df: DataFrame, spec: SeriesSpec, items: Iterable[Scan]) -> DataFrame:
     (key, chunk), one per-chunk summary, one summary window, one join."""
     items = list(items)
     keys = _keys(spec)
-    C = spec.chunk_rows
-    x = with_positions(df, spec)
-    x = x.withColumn(CH, F.col(PC) if PC in x.columns else F.floor(F.col(POS) / F.lit(C)))
+    x, chunk = row_chunks(with_positions(df, spec), spec)
     x = x.withColumns({f"_s_v{i}": it.value for i, it in enumerate(items)})
-    w = Window.partitionBy(*keys, CH).orderBy(POS)
-    wd = Window.partitionBy(*keys, CH).orderBy(F.col(POS).desc())
+    w = Window.partitionBy(*keys, *chunk).orderBy(POS)
+    wd = Window.partitionBy(*keys, *chunk).orderBy(F.col(POS).desc())
     local, aggs, carries = [], [], []
-    wc = Window.partitionBy(*keys).orderBy(CH)
-    wcd = Window.partitionBy(*keys).orderBy(F.col(CH).desc())
+    wc = Window.partitionBy(*keys).orderBy(*chunk)
+    wcd = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in chunk])
     for i, it in enumerate(items):
         v = F.col(f"_s_v{i}")
         if it.kind == "ffill":
@@ -253,9 +251,9 @@ def scans(df: DataFrame, spec: SeriesSpec, items: Iterable[Scan]) -> DataFrame:
                 wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_s_k{i}"))
         else:
             raise ValueError(it.kind)
-    summ = x.groupBy(*keys, CH).agg(*aggs)
-    summ = summ.select(*keys, CH, *carries)
-    x = x.select("*", *local).join(summ, on=keys + [CH], how="left")
+    summ = x.groupBy(*keys, *chunk).agg(*aggs)
+    summ = summ.select(*keys, *chunk, *carries)
+    x = x.select("*", *local).join(summ, on=keys + chunk, how="left")
     outs = []
     for i, it in enumerate(items):
         if it.kind == "cumsum":
@@ -285,71 +283,95 @@ def linear_recurrence(df: DataFrame, spec: SeriesSpec, a: Column, b: Column,
     return linear_recurrences(df, spec, [(a, b, name)])
 
 
+def affine_scan(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For n steps of m recurrences ``s = a*s + b`` (arrays n x m): the states from a
+    zero start and the running products of ``a``.  Steps are laid out in about
+    sqrt(n) blocks that advance side by side; block ends are then chained."""
+    n, m = a.shape
+    width = max(1, math.isqrt(n))
+    blocks = -(-n // width)
+    fill = blocks * width - n
+    av = np.concatenate([a, np.ones((fill, m))]).reshape(blocks, width, m)
+    bv = np.concatenate([b, np.zeros((fill, m))]).reshape(blocks, width, m)
+    state, product = np.zeros((blocks, m)), np.ones((blocks, m))
+    states, products = np.empty_like(av), np.empty_like(av)
+    for i in range(width):
+        state = av[:, i] * state + bv[:, i]
+        product = product * av[:, i]
+        states[:, i], products[:, i] = state, product
+    enter, before = np.zeros((blocks, m)), np.ones((blocks, m))
+    for k in range(1, blocks):
+        enter[k] = products[k - 1, -1] * enter[k - 1] + states[k - 1, -1]
+        before[k] = products[k - 1, -1] * before[k - 1]
+    states += products * enter[:, None]
+    products *= before[:, None]
+    return states.reshape(-1, m)[:n], products.reshape(-1, m)[:n]
+
+
+def row_chunks(x: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, list[str]]:
+    """Adds the chunk of each row: a time bucket of the positions step (so the data is
+    already dealt out by it), cut into pieces of at most ``chunk_rows`` rows.  Returns
+    the columns that name a chunk, in series order."""
+    cut = F.floor(F.col(POS) / F.lit(spec.chunk_rows)).cast("long")
+    x = x.withColumn(CH, cut)
+    return (x, [PC, CH]) if PC in x.columns else (x, [CH])
+
+
 def linear_recurrences(df: DataFrame, spec: SeriesSpec,
                        items: list[tuple[Column, Column, str]]) -> DataFrame:
     """Solve several recurrences ``s_p = a_p*s_{p-1} + b_p`` (``s_{-1} = 0``)
-    in one pass.
+    in one pass.  A row whose ``a`` or ``b`` is NULL keeps the state, and its own
+    result is that state.
 
-    Phase 1 solves each chunk from a zero state in a grouped pandas map and
-    records the running product of ``a``; phase 2 composes the per-chunk
+    Phase 1 solves each chunk (at most ``chunk_rows`` rows) from a zero state, records
+    the running product of ``a`` and is stored once; phase 2 composes the per-chunk
     affine maps over the chunk summary (one row per chunk) to get the state
     entering every chunk; phase 3 is ``s = A*s_in + s_local`` in SQL."""
     keys = _keys(spec)
-    C = spec.chunk_rows
     m = len(items)
-    x = with_positions(df, spec)
-    x = x.withColumn(CH, (F.col(PC) if PC in x.columns else F.floor(F.col(POS) / F.lit(C))).cast("long"))
+    x, chunk = row_chunks(with_positions(df, spec), spec)
     cols = {}
     for i, (a, b, _) in enumerate(items):
-        cols[f"_s_ra{i}"], cols[f"_s_rb{i}"] = a.cast("double"), b.cast("double")
+        known = a.isNotNull() & b.isNotNull()
+        cols[f"_s_ra{i}"] = F.when(known, a.cast("double")).otherwise(1.0)
+        cols[f"_s_rb{i}"] = F.when(known, b.cast("double")).otherwise(0.0)
     x = x.withColumns(cols)
-    extra = []
-    for i in range(m):
-        extra += [T.StructField(f"_s_loc{i}", T.DoubleType()), T.StructField(f"_s_cum{i}", T.DoubleType())]
-    out_schema = T.StructType(list(x.schema.fields) + extra)
+    given = list(cols)
+    kept = x.drop(*given)
+    extra = [T.StructField(f"_s_{what}{i}", T.DoubleType()) for i in range(m) for what in ("loc", "cum")]
+    out_schema = T.StructType(list(kept.schema.fields) + extra)
 
     def local(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(POS, kind="stable")
+        loc, cum = affine_scan(pdf[[f"_s_ra{i}" for i in range(m)]].to_numpy(dtype="float64"),
+                               pdf[[f"_s_rb{i}" for i in range(m)]].to_numpy(dtype="float64"))
+        pdf = pdf.drop(columns=given)
         for i in range(m):
-            av = pdf[f"_s_ra{i}"].to_numpy(dtype="float64", na_value=np.nan)
-            bv = pdf[f"_s_rb{i}"].to_numpy(dtype="float64", na_value=np.nan)
-            loc = np.empty(len(pdf))
-            cum = np.empty(len(pdf))
-            s_, A = 0.0, 1.0
-            for j in range(len(pdf)):
-                s_ = av[j] * s_ + bv[j]
-                A = A * av[j]
-                loc[j] = s_
-                cum[j] = A
-            pdf[f"_s_loc{i}"] = loc
-            pdf[f"_s_cum{i}"] = cum
+            pdf[f"_s_loc{i}"], pdf[f"_s_cum{i}"] = loc[:, i], cum[:, i]
         return pdf
 
-    solved = x.groupBy(*keys, CH).applyInPandas(local, out_schema)
+    solved = materialize(x.groupBy(*keys, *chunk).applyInPandas(local, out_schema))
     last = F.max_by(F.struct(*[F.col(f"_s_cum{i}").alias(f"A{i}") for i in range(m)],
                              *[F.col(f"_s_loc{i}").alias(f"B{i}") for i in range(m)]), F.col(POS)).alias("m")
-    summ = solved.groupBy(*keys, CH).agg(last)
-    summ = summ.select(*keys, CH, *[F.col(f"m.A{i}").alias(f"_s_A{i}") for i in range(m)],
+    summ = solved.groupBy(*keys, *chunk).agg(last)
+    summ = summ.select(*keys, *chunk, *[F.col(f"m.A{i}").alias(f"_s_A{i}") for i in range(m)],
                        *[F.col(f"m.B{i}").alias(f"_s_B{i}") for i in range(m)])
     key_schema = T.StructType([f for f in x.schema.fields if f.name in keys]
-                              + [T.StructField(CH, T.LongType())]
+                              + [T.StructField(c, T.LongType()) for c in chunk]
                               + [T.StructField(f"_s_in{i}", T.DoubleType()) for i in range(m)])
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(CH)
-        out = pdf[keys + [CH]].copy()
+        pdf = pdf.sort_values(chunk)
+        states, _ = affine_scan(pdf[[f"_s_A{i}" for i in range(m)]].to_numpy(dtype="float64"),
+                                pdf[[f"_s_B{i}" for i in range(m)]].to_numpy(dtype="float64"))
+        out = pdf[keys + chunk].copy()
         for i in range(m):
-            s_ = 0.0
-            ins = np.empty(len(pdf))
-            for j, (A, B) in enumerate(zip(pdf[f"_s_A{i}"].to_numpy(), pdf[f"_s_B{i}"].to_numpy())):
-                ins[j] = s_
-                s_ = A * s_ + B
-            out[f"_s_in{i}"] = ins
+            out[f"_s_in{i}"] = np.concatenate([[0.0], states[:-1, i]])
         return out
 
     entering = summ.groupBy(*keys).applyInPandas(compose, key_schema)
-    res = solved.join(entering, on=keys + [CH], how="left")
+    res = solved.join(entering, on=keys + chunk, how="left")
     res = res.withColumns({name: F.col(f"_s_cum{i}") * F.coalesce(F.col(f"_s_in{i}"), F.lit(0.0))
                            + F.col(f"_s_loc{i}") for i, (_, _, name) in enumerate(items)})
-    drop = [f"_s_{k}{i}" for i in range(m) for k in ("loc", "cum", "in", "ra", "rb")]
+    drop = [f"_s_{k}{i}" for i in range(m) for k in ("loc", "cum", "in")]
     return res.drop(*drop, CH)
