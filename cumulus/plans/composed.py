@@ -90,30 +90,55 @@ def pipeline_a_features(df: DataFrame, label: str = "cloudburst", spec: SeriesSp
     return drop_helpers(x).na.drop()
 
 
-def clean_and_smooth(df: DataFrame, label: str = "cloudburst", spec: SeriesSpec = DEFAULT,
-                     sensors: list[str] | None = None) -> DataFrame:
-    """Pipeline-B cleaning: interpolate (4 per side) + fill the numeric
-    columns; per sensor: Savitzky-Golay (11, 2) of the low-passed series,
-    Kalman filter of that, residual and residual outliers (3 population
-    std).  The Butterworth low/high-pass stage only exists when the cutoff
-    lies below the Nyquist frequency; at one-minute sampling (Nyquist
-    0.0083 Hz < 0.01 Hz cutoff) both filters are skipped."""
+def fill_sensors(df: DataFrame, label: str = "cloudburst", spec: SeriesSpec = DEFAULT) -> DataFrame:
+    """Numeric columns without gaps: interpolated (4 per side), then filled."""
     from cumulus.operators.series import materialize
-    sensors = [c for c in (sensors or SENSORS_B) if c in df.columns]
-    num = FL.numeric_columns(df, exclude=(label,))
-    x = materialize(FL.interpolate_fill(df, num, 4, spec))
+    return materialize(FL.interpolate_fill(df, FL.numeric_columns(df, exclude=(label,)), 4, spec))
+
+
+def smooth_sensors(filled: DataFrame, sensors: list[str], spec: SeriesSpec = DEFAULT) -> DataFrame:
+    """Per sensor: Butterworth low/high-pass where the station's rate allows, Savitzky-Golay
+    (11, 2) of the low-passed series, Kalman filter of that, residual and residual
+    outliers (3 population std)."""
     from cumulus.operators.filters import butter_stage
-    x, lp = butter_stage(x, sensors, spec)
+    from cumulus.operators.series import materialize
+    x, lp = butter_stage(filled, sensors, spec)
     x = W.savgol_11_2(x, [lp[c] for c in sensors], suffix="_sgtmp", spec=spec)
     for c in sensors:
         x = x.withColumnRenamed(f"{lp[c]}_sgtmp", f"{c}_sg")
-    x = materialize(x)
     x = RC.kalman_1d(x, [f"{c}_sg" for c in sensors], out=[f"{c}_kalman" for c in sensors], spec=spec)
     x = RC.residual_outliers(x, [f"{c}_kalman_resid" for c in sensors],
                              [f"{c}_kalman_outlier" for c in sensors], spec=spec)
     return materialize(x)
 
 
+def sensor_spectra(filled: DataFrame, sensors: list[str], spec: SeriesSpec = DEFAULT) -> DataFrame:
+    """Noise spectra of the filled sensors (before the low-pass) at each station's rate:
+    keys, sensor, k, frequency_hz, power.  A station without a positive median gap
+    counts as 1 Hz."""
+    from cumulus.operators.counters import sampling_interval
+    gap = F.col("sampling_interval_s")
+    rates = sampling_interval(filled.select(*spec.keys, spec.ts), spec).select(
+        *spec.keys, F.when(gap > 0, 1.0 / gap).otherwise(1.0).alias("fs_hz"))
+    return RC.spectra(filled, sensors, rates, spec)
+
+
+def clean_and_smooth(df: DataFrame, label: str = "cloudburst", spec: SeriesSpec = DEFAULT,
+                     sensors: list[str] | None = None) -> DataFrame:
+    """Pipeline-B cleaning without its spectra: `fill_sensors`, then `smooth_sensors`."""
+    sensors = [c for c in (sensors or SENSORS_B) if c in df.columns]
+    return smooth_sensors(fill_sensors(df, label, spec), sensors, spec)
+
+
+def clean_and_smooth_with_spectra(df: DataFrame, label: str = "cloudburst", spec: SeriesSpec = DEFAULT,
+                                  sensors: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Pipeline-B cleaning with all its stages: the smoothed readings, and the sensors'
+    spectra; both from one filled table."""
+    sensors = [c for c in (sensors or SENSORS_B) if c in df.columns]
+    filled = fill_sensors(df, label, spec)
+    return smooth_sensors(filled, sensors, spec), sensor_spectra(filled, sensors, spec)
+
+
 def add_features_b(df: DataFrame, spec: SeriesSpec = DEFAULT) -> DataFrame:
     """Pipeline-B features on the Kalman columns (raw ones when absent):
     rain over 5 / 15 / 30 min, 15-min mean / std / max, 30-min pressure std,

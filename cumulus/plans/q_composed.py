@@ -13,7 +13,7 @@ from cumulus.operators import sky as SK
 from cumulus.operators import stats as ST
 from cumulus.plans import composed as C
 from cumulus.plans import oracle_chains as O
-from cumulus.plans.common import finish, r
+from cumulus.plans.common import finish, fround, r
 from cumulus.plans.q_windows import KEY, WLOC, WROW, MIN, error_filters_sql
 from cumulus.plans.registry import query
 from cumulus.sources import fixtures as fx
@@ -111,16 +111,106 @@ def q_pipeline_b(spark, sf):
     return finish(C.pipeline_b_features(fx.raw_station(spark, sf)), cols=OUT_B)
 
 
-@query("butter_zero_phase", section="2.6")
+def _spectra_sql() -> str:
+    """Sums of the discrete Fourier transform over the filled readings."""
+    long = "\nUNION ALL ".join(
+        f"SELECT location_id, _pos, _n, '{c}' AS sensor, {c} - avg({c}) OVER (PARTITION BY location_id) AS x FROM b3"
+        for c in SENS_B)
+    fill = ",\n".join([O.positions("b0", "f"), O.interpolate("b1", "b0", NUM_B, 4), O.ffill("b2", "b1", NUM_B),
+                       O.bfill("b3", "b2", NUM_B)])
+    return "WITH RECURSIVE " + (_EF + ",\n" + fill)[5:] + f""",
+gaps AS (SELECT location_id, (epoch_us(timestamp) - lag(epoch_us(timestamp)) OVER (
+           PARTITION BY location_id ORDER BY _pos)) / 1e6 AS dt FROM b3),
+rates AS (SELECT location_id, CASE WHEN median(dt) > 0 THEN 1.0 / median(dt) ELSE 1.0 END AS fs FROM gaps GROUP BY 1),
+v AS ({long}),
+ks AS (SELECT location_id, _n AS n, unnest(range(0, _n // 2 + 1)) AS k
+       FROM (SELECT DISTINCT location_id, _n FROM b3 WHERE _n >= 4)),
+d AS (SELECT v.location_id, v.sensor, ks.k, ks.n, sum(v.x * cos(2 * pi() * ((ks.k * v._pos) % ks.n) / ks.n)) AS re,
+             sum(v.x * sin(2 * pi() * ((ks.k * v._pos) % ks.n) / ks.n)) AS im
+      FROM ks JOIN v ON v.location_id = ks.location_id GROUP BY 1, 2, 3, 4)
+SELECT d.location_id, sensor, k, {r('k * fs / n', 9)} AS frequency_hz, {r('(re * re + im * im) / n', 4)} AS power
+FROM d JOIN rates ON rates.location_id = d.location_id"""
+
+
+@query("clean_and_smooth_spectra", views=("raw_station",), section="2.6", sql=_spectra_sql())
+def q_clean_and_smooth_spectra(spark, sf):
+    """Last stage of pipeline B's cleaning: spectra of the five filled sensors."""
+    from cumulus.operators import quality as QC
+    filled = C.fill_sensors(QC.error_filters(fx.raw_station(spark, sf)))
+    return C.sensor_spectra(filled, SENS_B).select(
+        "location_id", "sensor", "k", fround(F.col("frequency_hz"), 9).alias("frequency_hz"),
+        fround(F.col("power"), 4).alias("power"))
+
+
+_LP = ["temp_C", "pressure"]
+
+
+def _butter_sql() -> str:
+    """Forward and backward recursion over the mirrored series of the stations whose
+    rate fits; coefficients of the fixture's only such rate."""
+    from cumulus.operators.filters import HIGHPASS_HZ, LOWPASS_HZ, ORDER, butter_space
+    pad = 3 * (ORDER + 1)
+    fs = 1.0 / fx.FAST_GAP_S
+    banks = {"lp": butter_space(ORDER, LOWPASS_HZ / (0.5 * fs), "low"),
+             "hp": butter_space(ORDER, HIGHPASS_HZ / (0.5 * fs), "high")}
+    names = [(c, kind) for c in _LP for kind in banks]
+
+    def num(v) -> str:
+        return f"CAST({float(v)!r} AS DOUBLE)"
+
+    def recursion(name: str, src: str, value) -> str:
+        """CTE of states before, and outputs at, each sample of src (e = 0, 1, ...)."""
+        first, step, out, cols = [], [], [], []
+        for c, kind in names:
+            M, B, Cc, D, zi = banks[kind]
+            v = value(c, kind)
+            z = [f"z{j}_{c}_{kind}" for j in range(ORDER)]
+            cols += z
+            first += [f"{num(zi[j])} * x.{v} AS {z[j]}" for j in range(ORDER)]
+            step += [" + ".join(f"{num(M[j][i])} * p.{z[i]}" for i in range(ORDER)) + f" + {num(B[j])} * q.{v}" for j in range(ORDER)]
+            out.append(" + ".join(f"{num(Cc[j])} * s.{z[j]}" for j in range(ORDER)) + f" + {num(D)} * x.{v} AS {c}_{kind}")
+        return f"""{name}_s(location_id, e, {', '.join(cols)}) AS (
+  SELECT x.location_id, x.e, {', '.join(first)} FROM {src} x WHERE x.e = 0
+  UNION ALL
+  SELECT x.location_id, x.e, {', '.join(step)}
+  FROM {name}_s p JOIN {src} x ON x.location_id = p.location_id AND x.e = p.e + 1
+       JOIN {src} q ON q.location_id = p.location_id AND q.e = p.e),
+{name} AS (SELECT x.location_id, x.e, x.n, {', '.join(out)} FROM {src} x JOIN {name}_s s
+  ON s.location_id = x.location_id AND s.e = x.e)"""
+
+    vals = ", ".join(_LP)
+    mirror = {"x0": f"{pad} - i", "xn": f"{pad} + 2 * (n - 1) - i"}
+    ends = ", ".join(f"arg_min({c}, i) AS x0_{c}, arg_max({c}, i) AS xn_{c}" for c in _LP)
+    turned = {at: ", ".join(f"2 * {at}_{c} - {c} AS {c}" for c in _LP) for at in mirror}
+    outs = ", ".join(f"CASE WHEN g.fast THEN f.{c}_lp ELSE m.{c} END AS {c}_lp, f.{c}_hp AS {c}_hp" for c in _LP)
+    rounded = ", ".join(f"{r(f'{c}_{k}')} AS {c}_{k}" for c, k in names)
+    return f"""WITH RECURSIVE m AS (SELECT location_id, timestamp, {vals}, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY location_id) AS n,
+        (epoch_us(timestamp) - lag(epoch_us(timestamp)) OVER w) / 1e6 AS dt
+      FROM mixed_rate WINDOW w AS (PARTITION BY location_id ORDER BY timestamp)),
+g AS (SELECT location_id, 0.5 / median(dt) > {LOWPASS_HZ} AS fast, {ends} FROM m GROUP BY location_id),
+a AS (SELECT m.*, g.* EXCLUDE (location_id) FROM m JOIN g ON g.location_id = m.location_id WHERE fast AND n > {pad}),
+ext AS (SELECT location_id, n, i + {pad} AS e, {vals} FROM a
+  UNION ALL SELECT location_id, n, {mirror['x0']}, {turned['x0']} FROM a WHERE i BETWEEN 1 AND {pad}
+  UNION ALL SELECT location_id, n, {mirror['xn']}, {turned['xn']} FROM a WHERE i BETWEEN n - 1 - {pad} AND n - 2),
+{recursion('fw', 'ext', lambda c, kind: c)},
+rev AS (SELECT location_id, n, n + {2 * pad} - 1 - e AS e, {', '.join(f'{c}_{k}' for c, k in names)} FROM fw),
+{recursion('bw', 'rev', lambda c, kind: f'{c}_{kind}')},
+f AS (SELECT location_id, n + {pad} - 1 - e AS i, {', '.join(f'{c}_{k}' for c, k in names)} FROM bw),
+o AS (SELECT m.location_id, m.timestamp, {outs}
+      FROM m JOIN g ON g.location_id = m.location_id
+           LEFT JOIN f ON f.location_id = m.location_id AND f.i = m.i)
+SELECT location_id, timestamp, {rounded} FROM o"""
+
+
+@query("butter_zero_phase", views=("mixed_rate",), section="2.6", sql=_butter_sql())
 def q_butter(spark, sf):
-    """Low/high-pass stage decision per the sampling rate: with one-minute
-    readings the 0.01 Hz cutoff lies above Nyquist, so no filter exists and
-    the low-passed series equals the series (rows check)."""
+    """Low- and high-pass where a station's rate fits: three stations with a reading
+    every ten seconds are filtered, those with one a minute go unchanged."""
     from cumulus.operators.filters import butter_stage
-    df = fx.raw_station(spark, sf).select("location_id", "timestamp", "temp_C", "pressure")
-    out, lp = butter_stage(df, ["temp_C", "pressure"])
-    return out.select("location_id", "timestamp", F.col(lp["temp_C"]).alias("temp_C_lp"),
-                      F.col(lp["pressure"]).alias("pressure_lp"))
+    df = fx.mixed_rate(spark, sf).select("location_id", "timestamp", *_LP)
+    out, lp = butter_stage(df, _LP)
+    return finish(out.select("location_id", "timestamp", *[F.col(lp[c]).alias(f"{c}_lp") for c in _LP],
+                             *[f"{c}_hp" for c in _LP]))
 
 
 def _model_input_sql(src: str, train: str) -> str:

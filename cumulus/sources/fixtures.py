@@ -79,6 +79,20 @@ def raw_station(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "satellite_precip", "cloudburst")
 
 
+#: Seconds between the readings of the fast stations of mixed_rate.
+FAST_GAP_S = 10
+
+
+def mixed_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Temperature and pressure without gaps; three of the ten stations have a reading
+    every ten seconds, the others one a minute."""
+    b = _grid_base(spark, sf_dir)
+    gap = F.expr(f"case when event_id % 10 < 3 then {FAST_GAP_S} else 60 end")
+    return b.select("location_id", F.timestamp_micros(
+        F.unix_micros(F.lit("2024-07-01 00:00:00").cast("timestamp")) + F.col("m") * gap * 1_000_000).alias("timestamp"),
+        F.col("temperature").alias("temp_C"), "pressure")
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station keys with a given probability and the label."""
     b = _grid_base(spark, sf_dir)
@@ -188,6 +202,11 @@ DUCK_VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
       SELECT location_id, timestamp, temperature AS temp_C, humidity, pressure,
              rainfall_mm AS rain_mm, wind_gust AS wind_speed, satellite_precip, cloudburst
       FROM sensor_dirty"""),
+    "mixed_rate": (("grid_base",), f"""
+      SELECT location_id, TIMESTAMP '2024-07-01 00:00:00'
+               + to_seconds(CAST(m * CASE WHEN event_id % 10 < 3 THEN {FAST_GAP_S} ELSE 60 END AS BIGINT)) AS timestamp,
+             temperature AS temp_C, pressure
+      FROM grid_base"""),
     "scored": (("grid_base",), """
       SELECT location_id, timestamp, round(value / 500, 6) AS probability, cloudburst AS label
       FROM grid_base"""),
