@@ -5,12 +5,13 @@ bootstrap augmentation."""
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -164,11 +165,33 @@ def platt(scores: DataFrame, raw_col: str, label: str, soft: bool = False):
     return lr.fit(VectorAssembler(inputCols=["_raw"], outputCol="_f").transform(x))
 
 
-ENSEMBLE_SEEDS = (42, 52, 62, 72, 82)
+# The seeds of the ensemble.
+ENSEMBLE_SEEDS = (42, 10, 77, 123, 2024)
 #: Labelled rows that the boosted trees are fitted on, at most (drawn by hash).
 FIT_ROWS = 10_000
 
 
+def hashed_folds(df: DataFrame, k: int, keys: list[str], seed: int) -> DataFrame:
+    """Adds ``fold`` in 0..k-1 by a seeded hash of the row's keys alone: the same for
+    the row in any sample of the table."""
+    return df.withColumn("fold", F.pmod(F.xxhash64(*keys, F.lit(f"fold-{seed}")), F.lit(k)).cast("int"))
+
+
+def ensemble_rows(train: DataFrame, cols: list[str], label: str, seeds, folds: int, keys: list[str],
+                  fit_rows: int) -> DataFrame:
+    """The sampled labelled rows of each fit (``_seed``, ``_held``): those whose fold is
+    ``_held`` calibrate it, the others train it."""
+    labelled = train.where(F.col(label).isNotNull())
+    draw = F.pmod(F.xxhash64(*keys, F.lit("fit")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = labelled.where(draw < F.lit(fit_rows / max(labelled.count(), 1)))
+    sample = sample.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols], F.col(label).cast("int").alias("_y"))
+    dealt = None
+    for s in seeds:
+        part = hashed_folds(sample, folds, keys, s).withColumn("_seed", F.lit(s))
+        dealt = part if dealt is None else dealt.unionByName(part)
+    return dealt.withColumn("_held", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+
+
 def calibrated_ensemble(train: DataFrame, cols: list[str], label: str, seeds=ENSEMBLE_SEEDS, folds: int = 3,
                         rounds: int = 800, keys: list[str] | None = None, fit_rows: int = FIT_ROWS) -> list[dict]:
     """Per seed and fold: boosted trees (step 0.05, 48 leaves, >= 20 rows per
@@ -179,15 +202,7 @@ def calibrated_ensemble(train: DataFrame, cols: list[str], label: str, seeds=ENS
     seed, fold, trees, a, b."""
     import pickle
     keys = keys or ["location_id", "timestamp"]
-    n = train.where(F.col(label).isNotNull()).count()
-    draw = F.pmod(F.xxhash64(*keys, F.lit("fit")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = train.where(F.col(label).isNotNull() & (draw < F.lit(fit_rows / max(n, 1))))
-    sample = sample.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols], F.col(label).cast("int").alias("_y"))
-    parts = [stratified_folds(sample, "_y", folds, keys, s).withColumn("_seed", F.lit(s)) for s in seeds]
-    dealt = parts[0]
-    for p in parts[1:]:
-        dealt = dealt.unionByName(p)
-    dealt = dealt.withColumn("_held", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    dealt = ensemble_rows(train, cols, label, seeds, folds, keys, fit_rows)
     settings = B.Settings(rounds=rounds)
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -201,7 +216,7 @@ def calibrated_ensemble(train: DataFrame, cols: list[str], label: str, seeds=ENS
     got = (dealt.repartition(len(seeds) * folds, "_seed", "_held").groupBy("_seed", "_held")
            .applyInPandas(fit, "seed int, fold int, trees binary, a double, b double")).collect()
     return [{"seed": r.seed, "fold": r.fold, "trees": pickle.loads(r.trees), "a": r.a, "b": r.b}
-            for r in sorted(got, key=lambda r: (r.seed, r.fold))]
+            for r in sorted(got, key=lambda r: (list(seeds).index(r.seed), r.fold))]
 
 
 def row_mean(cols) -> "F.Column":
@@ -234,6 +249,24 @@ def ensemble_predict(df: DataFrame, models: list[dict], cols: list[str], out: st
     return x.withColumn(out, row_mean([F.col("_p")[i] for i in range(len(seeds))])).drop("_p")
 
 
+def load_or_train(spark, path: str, train, load, save):
+    """The model stored below ``path``; if there is none, or it can't be read, it is
+    trained and stored.  The mark of a finished save is written last, so a save that was
+    cut short counts as none."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/saved")
+    fs = mark.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(mark):
+        try:
+            return load(f"{path}/model")
+        except Exception as e:  # noqa: BLE001  whatever the reader says about a damaged store
+            logging.getLogger(__name__).warning("stored model below %s is trained anew: %s", path, e)
+    model = train()
+    fs.delete(mark, True)
+    save(model, f"{path}/model")
+    fs.create(mark, True).close()
+    return model
+
+
 def save_models(spark, models: list[dict], path: str, codes: DataFrame | None = None,
                 thresholds: dict | None = None, features: list[str] | None = None) -> None:
     """Model store: trees and calibrators, the location encoder, the thresholds and

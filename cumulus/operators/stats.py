@@ -4,6 +4,8 @@ precision@k."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -165,9 +167,39 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(cols) ** 2}, {pairs}) as (col_a, col_b, corr)")
 
 
-def label_histogram(df: DataFrame, col: str, label: str = "cloudburst", bins: int = 20) -> DataFrame:
+def automatic_bins(df: DataFrame, col: str) -> int:
+    """Number of equal bins over min..max: the larger of Sturges' (log2 n + 1) and
+    Freedman and Diaconis' (bins of 2 IQR / n^(1/3); not used when the IQR is 0)."""
+    row = df.agg(F.count(col).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    n, lo, hi = row["n"], row["lo"], row["hi"]
+    if not n or hi <= lo:
+        return 1
+    q1, q3 = quantile_values(df, col, [0.25, 0.75])
+    width = (hi - lo) / (math.log2(n) + 1.0)
+    spread = 2.0 * (q3 - q1) / n ** (1.0 / 3.0)
+    return max(1, math.ceil((hi - lo) / (min(width, spread) if spread > 0 else width)))
+
+
+def approximate_quantiles(df: DataFrame, col, qs: list[float], keys: list[str] | tuple = (),
+                          accuracy: int = 10_000) -> DataFrame:
+    """Quantiles that are readings (the smallest with at least a share q of the others at
+    or below it), per group and column, from one mergeable sketch each in a single
+    scan: the rank is off by n / ``accuracy`` at most.  keys..., column, q, value."""
+    cols = [col] if isinstance(col, str) else list(col)
+    sketches = [F.percentile_approx(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")),
+                                    [float(q) for q in qs], accuracy).alias(f"_{i}") for i, c in enumerate(cols)]
+    got = df.groupBy(*keys).agg(*sketches)
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(float(q)).alias("q"), F.col(f"_{i}")[k].alias("value"))
+                     for i, c in enumerate(cols) for k, q in enumerate(qs)])
+    return got.select(*keys, F.explode(rows).alias("_r")).select(*keys, "_r.column", "_r.q", "_r.value")
+
+
+def label_histogram(df: DataFrame, col: str, label: str = "cloudburst", bins: int | str = 20) -> DataFrame:
     """Density histogram of ``col`` per label over common bins spanning the
-    global min..max: density = count / (n_label * width)."""
+    global min..max: density = count / (n_label * width).  ``bins`` is their number, or
+    "auto" (see `automatic_bins`)."""
+    if bins == "auto":
+        bins = automatic_bins(df, col)
     mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     lo, hi = mm["lo"], mm["hi"]
     if lo is None:

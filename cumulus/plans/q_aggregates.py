@@ -125,6 +125,38 @@ def q_label_histogram(spark, sf):
     return finish(ST.label_histogram(df, "rain_15", "cloudburst", 20))
 
 
+@query("label_histogram_auto", views=("sensor_grid",), section="2.4", sql=f"""
+WITH f AS (SELECT cloudburst,
+    sum(rainfall_mm) OVER ({WLOC} RANGE BETWEEN {15*MIN - 1} PRECEDING AND CURRENT ROW) AS rain_15 FROM sensor_grid),
+m AS (SELECT min(rain_15) AS lo, max(rain_15) AS hi, count(rain_15) AS n,
+        2 * (quantile_cont(rain_15, 0.75) - quantile_cont(rain_15, 0.25)) / pow(count(rain_15), 1.0 / 3.0) AS fd,
+        (max(rain_15) - min(rain_15)) / (log2(count(rain_15)) + 1) AS st FROM f),
+k AS (SELECT *, CAST(greatest(1, ceil((hi - lo) / CASE WHEN fd > 0 THEN least(fd, st) ELSE st END)) AS INTEGER) AS bins FROM m),
+b AS (SELECT cloudburst, lo, bins, (hi - lo) / bins AS w, rain_15 FROM f, k WHERE rain_15 IS NOT NULL),
+c AS (SELECT cloudburst, CAST(least(floor((rain_15 - lo) / w), bins - 1) AS INTEGER) AS bin FROM b)
+SELECT n.label, g.bin, {r('n.lo + g.bin * n.w')} AS bin_low, {r('n.lo + (g.bin + 1) * n.w')} AS bin_high,
+  coalesce(c2.n, 0) AS count, {r('coalesce(c2.n, 0) / (n.nl * n.w)')} AS density
+FROM (SELECT cloudburst AS label, min(lo) AS lo, min(w) AS w, count(*) AS nl FROM b GROUP BY 1) n
+CROSS JOIN (SELECT CAST(unnest(range(bins)) AS INTEGER) AS bin FROM k) g
+LEFT JOIN (SELECT cloudburst AS label, bin, count(*) AS n FROM c GROUP BY 1, 2) c2
+  ON c2.label = n.label AND c2.bin = g.bin""")
+def q_label_histogram_auto(spark, sf):
+    df = W.rain_time_sums(fx.sensor_grid(spark, sf), windows=(15,))
+    return finish(ST.label_histogram(df, "rain_15", "cloudburst", "auto"))
+
+
+_SKETCHED = ["rainfall_mm", "pressure", "humidity"]
+
+
+@query("quantile_sketch", views=("sensor_raw",), section="2.4", sql="\nUNION ALL ".join(
+    f"SELECT location_id, '{c}' AS \"column\", CAST({q} AS DOUBLE) AS q, {r(f'quantile_disc({c}, {q})')} AS value "
+    "FROM sensor_raw GROUP BY location_id" for c in _SKETCHED for q in (0.05, 0.5, 0.95)))
+def q_quantile_sketch(spark, sf):
+    """Quantiles per station from one sketch each; exact while a station has fewer
+    readings than the accuracy."""
+    return finish(ST.approximate_quantiles(fx.sensor_raw(spark, sf), _SKETCHED, [0.05, 0.5, 0.95], ["location_id"], 100_000))
+
+
 @query("rain_total_since", views=("sensor_grid",), section="2.4", sql=f"""
 SELECT location_id, timestamp,
   {r(f'coalesce(sum(coalesce(rainfall_mm, 0)) OVER ({WLOC} RANGE BETWEEN {15*MIN} PRECEDING AND CURRENT ROW), 0)')} AS rain_total

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cumulus.operators import interval_joins as IJ
 from cumulus.operators import joins as J
 from cumulus.operators import windows as W
 from cumulus.plans.common import finish, r
@@ -50,6 +51,31 @@ def q_asof_fallback(spark, sf):
     return finish(df, cols=KEY + ["fallback_pressure_change", "fallback_humidity_change"])
 
 
+@query("range_join_events", views=("sensor_raw", "tips", "pulses"), section="2.3", sql="""
+SELECT a.location_id, a.timestamp, count(b.timestamp) AS tips, min(b.timestamp) AS first_tip,
+  max(b.timestamp) AS last_tip
+FROM sensor_raw a LEFT JOIN tips b ON a.location_id = b.location_id
+  AND b.timestamp >= a.timestamp - INTERVAL 90 MINUTE AND b.timestamp <= a.timestamp + INTERVAL 10 MINUTE
+GROUP BY a.location_id, a.timestamp""")
+def q_range_join(spark, sf):
+    """Readings with the rain-gauge tips from 90 minutes before to 10 minutes after."""
+    pairs = IJ.range_join(fx.sensor_raw(spark, sf).select(*KEY), fx.events_keyed(spark, sf, "click"), ["location_id"],
+                          "timestamp", "timestamp", 90 * MIN, 10 * MIN, "left", "_tip")
+    return pairs.groupBy(*KEY).agg(F.count("timestamp_tip").alias("tips"), F.min("timestamp_tip").alias("first_tip"),
+                                   F.max("timestamp_tip").alias("last_tip"))
+
+
+@query("asof_join_events", views=("sensor_raw", "pulses"), section="2.3", sql="""
+WITH j AS (SELECT a.location_id, a.timestamp, b.timestamp AS pulse_at
+  FROM sensor_raw a ASOF LEFT JOIN pulses b ON a.location_id = b.location_id AND a.timestamp >= b.timestamp)
+SELECT location_id, timestamp, CASE WHEN timestamp - pulse_at <= INTERVAL 3 HOUR THEN pulse_at END AS pulse_at FROM j""")
+def q_asof_join(spark, sf):
+    """Readings with the last wind pulse at or before them, at most three hours old."""
+    out = IJ.asof_join(fx.sensor_raw(spark, sf).select(*KEY), fx.events_keyed(spark, sf, "view").withColumnRenamed(
+        "timestamp", "pulse_at"), ["location_id"], "timestamp", "pulse_at", 180 * MIN)
+    return out.select(*KEY, "pulse_at")
+
+
 @query("location_dim", views=("sensor_grid", "location_dim"), section="2.3", sql=f"""
 SELECT g.location_id, g.timestamp, {r('d.latitude')} AS latitude, {r('d.longitude')} AS longitude
 FROM sensor_grid g LEFT JOIN location_dim d ON g.location_id = d.location_id""")

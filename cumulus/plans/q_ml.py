@@ -3,6 +3,7 @@ are not SQL-expressible; they get the rows-only check plus unit tests."""
 
 from __future__ import annotations
 
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import functions as F
 
 from cumulus.functions import scalar as X
@@ -16,8 +17,12 @@ from cumulus.plans.registry import query
 from cumulus.session import checkpoint_dir, scratch_dir
 from cumulus.sources import fixtures as fx
 
+# The model inputs of pipelines A and B.
 A_FEATURES = ["rain_15", "rain_5", "pressure_drop_15", "humidity_change_15", "satellite_precip",
               "forecast_30min", "rainfall_mm_smooth", "pressure_smooth", "humidity_smooth"]
+B_FEATURES = ["rain_5", "rain_15", "rain_30", "pressure_drop_15", "pressure_std_30", "hum_change_15", "hum_mean_15",
+              "hum_std_15", "temp_change_15", "temp_std_15", "temp_mean_15", "wind_mean_15", "wind_max_15",
+              "wind_std_15", "wind_change_15", "dew_point", "dewpoint_depression", "satellite_precip", "forecast_30min"]
 
 
 def _matrix(spark, sf):
@@ -97,6 +102,41 @@ def q_random_forest(spark, sf):
                              F.col("prediction").cast("int").alias("prediction")))
 
 
+_FORESTS: dict[tuple[str, str], tuple] = {}
+
+
+def _rf_b(spark, sf, trees=200):
+    """(rows with is_test, forest): pipeline B's 19 features, scaled on the training rows,
+    with 20 % of each class held back; fitted once per session and table."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at in _FORESTS:
+        return _FORESTS[at]
+    feats = C.pipeline_b_features(fx.raw_station(spark, sf))
+    # no forecast column: the naive one that serving falls back to
+    feats = feats.withColumn("forecast_30min", X.naive_forecast(F.lit(None).cast("double"), "rain_15"))
+    checkpoint_dir(spark)
+    d = ML.stratified_split(feats, "cloudburst", 0.2, KEY).checkpoint()
+    d = ML.standard_scale(d, ML.fit_standard_scaler(d.where(~F.col("is_test")), B_FEATURES))
+    _FORESTS[at] = d, ML.random_forest(d.where(~F.col("is_test")), B_FEATURES, "cloudburst", num_trees=trees)
+    return _FORESTS[at]
+
+
+@query("random_forest_b", section="2.10")
+def q_random_forest_b(spark, sf):
+    """Balanced-weight forest of 200 trees on pipeline B's features; test rows."""
+    d, model = _rf_b(spark, sf)
+    out = model.transform(ML.assemble(d.where(F.col("is_test")), B_FEATURES))
+    return finish(out.select(*KEY, "cloudburst", ML.positive().alias("probability"),
+                             F.col("prediction").cast("int").alias("prediction")))
+
+
+@query("feature_importance_b", section="2.4")
+def q_importance_b(spark, sf):
+    """Importances of pipeline B's forest, greatest first."""
+    _, model = _rf_b(spark, sf)
+    return ML.feature_importance(model, B_FEATURES, spark)
+
+
 @query("feature_importance", section="2.4")
 def q_importance(spark, sf):
     d, model = _rf(spark, sf)
@@ -134,7 +174,7 @@ def q_platt(spark, sf):
     probabilities of the rows of the first seed's first fold."""
     m, models, _ = _ensemble(spark, sf)
     first = [x for x in models if x["fold"] == 0][:1]
-    held = ML.stratified_folds(m, "cloudburst", 3, KEY, first[0]["seed"]).where(F.col("fold") == 0)
+    held = ML.hashed_folds(m, 3, KEY, first[0]["seed"]).where(F.col("fold") == 0)
     out = ML.ensemble_predict(held, first, C.FEATURES, "calibrated_probability")
     return finish(out.select(*KEY, "cloudburst", "calibrated_probability"))
 
@@ -184,6 +224,25 @@ def q_weather(spark, sf):
     return ML.weather_predict(model, et).select("location_id", "timestamp", "class_id", "weather", "confidence")
 
 
+@query("load_or_train", section="2.1")
+def q_load_or_train(spark, sf):
+    """The temperature forecast, trained and stored by the first call and loaded by the
+    second: predictions of the loaded one."""
+    path, lags = scratch_dir(spark, "models/forecast"), []
+
+    def train():
+        model, rows = ML.temp_forecast(fx.sensor_grid(spark, sf))
+        lags.append(rows)
+        return model
+
+    def model():
+        return ML.load_or_train(spark, path, train, LinearRegressionModel.load, lambda m, p: m.write().overwrite().save(p))
+
+    model()
+    out = model().transform(ML.assemble(lags[0], ["lag_3", "lag_2", "lag_1"]))
+    return out.select(*KEY, F.round("prediction", 2).alias("next_temperature"))
+
+
 @query("isolation_forest", section="2.10")
 def q_isolation(spark, sf):
     et = ML.edge_training(spark, sf)

@@ -16,6 +16,7 @@ from cumulus.plans.q_predicates import BEST_F1_THRESHOLD
 from cumulus.plans.q_windows import KEY, q_history_features_station
 from cumulus.plans.registry import REGISTRY, query
 from cumulus.sources import fixtures as fx
+from cumulus.sources.merge import Store, first_wins, last_wins
 from cumulus.streaming import streams as SS
 
 
@@ -133,3 +134,59 @@ def q_tail_csv(spark, sf):
     g = fx.sensor_grid(spark, sf).select(*KEY, "rainfall_mm", "pressure")
     s = _stream_of(g, "tail", fmt="csv")
     return finish(SS.run_append(s, "tail_out"))
+
+
+@query("stream_upsert", views=("meta_log",), section="2.1", sql="""
+SELECT key, arg_max(value, seq) AS value, max(seq) AS seq FROM meta_log GROUP BY key""")
+def q_stream_upsert(spark, sf):
+    """A log of metadata writes, merged batch by batch into a stored table: last write wins."""
+    log = fx.meta_log(spark, sf)
+    path = SS.stage_files(log.withColumn("at", F.timestamp_micros(F.col("seq"))), "meta", ts="at")
+    stream = SS.read_stream(spark, path, log.schema, files_per_trigger=2)
+    store = Store(spark, SS._scratch(spark, "meta-store"), log.schema, ["key"])
+    SS.run_merge(stream, "log", store, last_wins(["key"], "seq"))
+    return store.read()
+
+
+@query("stream_insert_or_ignore", views=("duplicates",), section="2.1", sql=f"""
+SELECT location_id, timestamp, {r('arg_min(rainfall_mm, seq * 2 + arrival)')} AS rainfall_mm FROM duplicates
+GROUP BY location_id, timestamp""")
+def q_stream_insert(spark, sf):
+    """Readings, some of which arrive again, inserted into a stored table batch by batch:
+    a key that is stored is never written again."""
+    d = fx.duplicates(spark, sf).select(*KEY, "rainfall_mm", "arrival", "seq")
+    stream = SS.read_stream(spark, SS.stage_files(d, "arrivals"), d.schema, files_per_trigger=3)
+    store = Store(spark, SS._scratch(spark, "reading-store"), d.schema, KEY)
+    SS.run_merge(stream, "arrivals", store, first_wins(KEY, ["seq", "arrival"]))
+    return finish(store.read().drop("arrival", "seq"))
+
+
+def _quarter(df, ts="timestamp"):
+    """The quarter of the table's time span that a row lies in, 0 to 3."""
+    us = F.unix_micros(ts)
+    lo, hi = df.agg(F.min(us), F.max(us)).first()
+    return F.floor((us - F.lit(lo)) / F.lit(-(-(hi - lo + 1) // 4)))
+
+
+@query("latest_only_stream", views=("sensor_grid",), section="2.1", sql=f"""
+WITH b AS (SELECT *, floor((epoch_us(timestamp) - min(epoch_us(timestamp)) OVER ())
+    / ceil((max(epoch_us(timestamp)) OVER () - min(epoch_us(timestamp)) OVER () + 1) / 4.0)) AS part FROM sensor_grid),
+s AS (SELECT location_id, max(timestamp) AS start FROM b WHERE part < 3 GROUP BY location_id)
+SELECT b.location_id, b.timestamp, {r('rainfall_mm')} AS rainfall_mm FROM b LEFT JOIN s ON s.location_id = b.location_id
+WHERE s.start IS NULL OR b.timestamp >= s.start""")
+def q_latest_only_stream(spark, sf):
+    """The service starts when three quarters of the readings are stored: its first run
+    yields each station's newest reading, the next one what came since."""
+    g = fx.sensor_grid(spark, sf).select(*KEY, "rainfall_mm")
+    base = SS._scratch(spark, "service-state")
+    part = _quarter(g)
+    first, rest = f"{base}/in/early", f"{base}/in/late"
+    g.where(part < 3).write.parquet(first)
+    for _ in range(2):
+        stream = SS.read_stream(spark, f"{base}/in/*", g.schema)
+        new = SS.start_at_newest(stream, spark.read.schema(g.schema).parquet(first), base, ["location_id"])
+        q = (new.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/chk")
+                .trigger(availableNow=True).start())
+        q.awaitTermination()
+        g.where(part >= 3).write.mode("ignore").parquet(rest)
+    return finish(spark.read.schema(g.schema).parquet(f"{base}/out"))

@@ -200,3 +200,36 @@ def test_hysteresis_stream_equals_batch(spark):
     batch = AL.alert_hysteresis(s0, threshold=0.2).select(*KEY, "alert")
     stream = SS.run_append(SS.hysteresis_stream(ended(s0, "t_hyst"), 0.2), "t_hyst_out").select(*KEY, "alert")
     assert rows(stream, KEY + ["alert"]) == rows(batch, KEY + ["alert"])
+
+
+def test_no_held_out_row_trains_the_fit(spark):
+    """More rows than the fit samples: rows that a fit's fold holds out, in the whole
+    table, are in no training part of the sample."""
+    df = spark.range(3000).select((F.col("id") % 7).cast("string").alias("location_id"), F.col("id").alias("timestamp"),
+                                  F.rand(1).alias("x"), (F.col("id") % 9 == 0).cast("int").alias("y"))
+    keys = ["location_id", "timestamp"]
+    dealt = ML.ensemble_rows(df, ["x"], "y", (42, 10), 3, keys, 400)
+    assert 300 < dealt.count() / 6 < 500
+    for seed in (42, 10):
+        for held in range(3):
+            own = dealt.where((F.col("_seed") == seed) & (F.col("_held") == held))
+            trained, out = own.where(F.col("fold") != held), ML.hashed_folds(df, 3, keys, seed).where(F.col("fold") == held)
+            assert trained.join(out, keys, "left_semi").count() == 0
+            assert own.where(F.col("fold") == held).join(out, keys, "left_anti").count() == 0
+            assert 800 < out.count() < 1200
+
+
+def test_load_or_train(spark):
+    from cumulus.session import scratch_dir
+    path, calls = scratch_dir(spark, "models/test"), []
+
+    def model(load=None):
+        return ML.load_or_train(spark, path, lambda: calls.append(1) or 7.5,
+                                load or (lambda p: spark.read.parquet(p).first()[0]),
+                                lambda m, p: spark.createDataFrame([(m,)], "m double").write.mode("overwrite").parquet(p))
+
+    assert [model(), model(), len(calls)] == [7.5, 7.5, 1]
+
+    def damaged(p):
+        raise OSError("damaged")
+    assert model(damaged) == 7.5 and len(calls) == 2

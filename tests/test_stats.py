@@ -46,3 +46,31 @@ def test_quantiles_over_a_wide_range(spark):
     df = spark.range(400).select(F.when(F.col("id") == 200, 0.0).otherwise(F.signum(F.col("id") - 200.0) * F.pow(F.lit(10.0), F.abs(F.col("id") - 200) - 100)).alias("v"))
     got = ST.exact_quantiles(df, "v", [0.25], final_rows=1).first().value
     assert got == pytest.approx(float(np.quantile([0.0 if i == 200 else (1 if i > 200 else -1) * 10.0 ** (abs(i - 200) - 100) for i in range(400)], 0.25)))
+
+
+def test_automatic_bins_follow_the_rule(spark):
+    import numpy as np
+    from cumulus.operators import stats as ST
+    rng = np.random.default_rng(3)
+
+    def bins(x):
+        return ST.automatic_bins(spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double"), "x")
+
+    for x in (rng.normal(size=400), rng.exponential(size=90), np.full(7, 3.0), np.arange(5.0)):
+        assert bins(x) == len(np.histogram_bin_edges(x, "auto")) - 1
+    assert bins(np.repeat([0.0, 1.0], [95, 5])) == 8  # no spread between the quartiles: log2(100) + 1, rounded up
+    assert ST.automatic_bins(spark.createDataFrame([], "x double"), "x") == 1
+
+
+def test_sketch_rank_error(spark):
+    import numpy as np
+    from cumulus.operators import stats as ST
+    from pyspark.sql import functions as F
+    n, accuracy = 200_000, 200
+    df = spark.range(n).select((F.xxhash64("id") % 1_000_003).cast("double").alias("x"), (F.col("id") % 2).alias("g"))
+    every = {g: np.sort([r.x for r in df.where(F.col("g") == g).collect()]) for g in (0, 1)}
+    for r in ST.approximate_quantiles(df, ["x"], [0.01, 0.5, 0.99], ["g"], accuracy).collect():
+        rank = np.searchsorted(every[r.g], r.value, side="right")
+        assert abs(rank - r.q * len(every[r.g])) <= len(every[r.g]) / accuracy + 1
+    plan = ST.approximate_quantiles(df, ["x"], [0.5], [], accuracy)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
