@@ -75,9 +75,14 @@ def votes(m: dict[str, int]) -> list[int]:
     return out
 
 
-def pattern_of(text: str) -> int:
+def measured(text: str) -> dict[str, int]:
+    return dict(zip(NAMES, measure(text)))
+
+
+def pattern_of(m: dict[str, int]) -> int:
+    """The votes on a measured text as one number."""
     code = 0
-    for v in votes(dict(zip(NAMES, measure(text)))):
+    for v in votes(m):
         code = code * 3 + v
     return code
 
@@ -143,43 +148,42 @@ def shape(word: bytes) -> bytes:
     return word[:8]
 
 
-def bins(text: str) -> Iterator[bytes]:
-    """The labellers' ratios, in coarse steps, as features."""
-    m = dict(zip(NAMES, measure(text)))
+def bins(m: dict[str, int]) -> Iterator[bytes]:
+    """The labellers' ratios of a measured text, in coarse steps, as features."""
     for name, (ratio, _) in LABELLERS.items():
         a, _, b = ratio.partition(" / ")
         v = (m[a] / m[b] if m[b] else -1.0) if b else float(np.log2(1 + m[a]))
         yield f"{name} {int(min(v, 30.0) * (1 if b == 'n_words' and a == 'word_chars' or not b else 10))}".encode()
 
 
+class Slots(dict):
+    """word -> its slot, and that of its shape, as one number."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        mask = (1 << BITS) - 1
+        self[word] = got = (zlib.crc32(word.lower()) & mask) << BITS | zlib.crc32(b"shape " + shape(word)) & mask
+        return got
+
+
 class Features:
     """Hashed words, word shapes and bins: logarithmic counts, scaled to one length."""
 
     def __init__(self):
-        self.known: dict[bytes, tuple[int, int]] = {}
-
-    def slots(self, word: bytes) -> tuple[int, int]:
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            mask = (1 << BITS) - 1
-            got = self.known[word] = (zlib.crc32(word.lower()) & mask,
-                                      zlib.crc32(b"shape " + shape(word)) & mask)
-        return got
+        self.slots = Slots()
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        count: Counter = Counter()
-        for w, c in Counter(text.encode("utf-8", "replace").split()).items():
-            a, b = self.slots(w)
-            count[a] += c
-            count[b] += c
-        for name in bins(text):
-            count[zlib.crc32(name) & ((1 << BITS) - 1)] += BIN_WEIGHT
-        index = np.fromiter(count.keys(), dtype=np.int64, count=len(count))
-        order = np.argsort(index)
-        value = np.log1p(np.fromiter(count.values(), dtype=float, count=len(count)))[order]
-        return index[order], value * (LENGTH / max(1e-9, np.sqrt((value ** 2).sum())))
+    def __call__(self, text: str, m: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Of a text and its measures."""
+        words = Counter(text.encode("utf-8", "replace").split())
+        both = np.fromiter(map(self.slots.__getitem__, words.keys()), dtype=np.int64, count=len(words))
+        times = np.fromiter(words.values(), dtype=np.int64, count=len(words))
+        of_bins = np.array([zlib.crc32(name) & ((1 << BITS) - 1) for name in bins(m)], dtype=np.int64)
+        index, where = np.unique(np.concatenate([both >> BITS, both & ((1 << BITS) - 1), of_bins]), return_inverse=True)
+        count = np.bincount(where, weights=np.concatenate([times, times, np.full(len(of_bins), BIN_WEIGHT)]),
+                            minlength=len(index))
+        value = np.log1p(count)
+        return index, value * (LENGTH / max(1e-9, np.sqrt((value ** 2).sum())))
 
 
 @dataclass
@@ -200,7 +204,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def patterns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            count = Counter(pattern_of(text_of(t)) for t in b["text"])
+            count = Counter(pattern_of(measured(text_of(t))) for t in b["text"])
             yield pd.DataFrame({"pattern": list(count.keys()), "n": list(count.values())})
 
     # at most 3^labellers rows, whatever the corpus
@@ -216,9 +220,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         features = Features()
         for b in batches:
             out = []
-            for t in b["text"]:
-                i, v = features(text_of(t))
-                p = weak.posterior.get(pattern_of(text_of(t)), weak.prior)
+            for t in map(text_of, b["text"]):
+                m = measured(t)
+                i, v = features(t, m)
+                p = weak.posterior.get(pattern_of(m), weak.prior)
                 out += [(i, v, 1.0, p), (i, v, 0.0, 1 - p)]
             yield pd.DataFrame(out, columns=["index", "value", "label", "weight"])
 
@@ -243,12 +248,13 @@ def score(docs: DataFrame, weak: WeakLabels, model: Linear, id_col: str = "doc_i
         weak, model = shared.value
         features = Features()
         for b in batches:
-            texts = [text_of(t) for t in b["text"]]
-            got = [model(*features(t)) for t in texts]
-            yield pd.DataFrame({
-                "doc_id": b["doc_id"],
-                "posterior": [weak.posterior.get(pattern_of(t), weak.prior) for t in texts],
-                "score": got, "kept": [g >= keep for g in got]})
+            belief, got = [], []
+            for t in map(text_of, b["text"]):
+                m = measured(t)
+                belief.append(weak.posterior.get(pattern_of(m), weak.prior))
+                got.append(model(*features(t, m)))
+            yield pd.DataFrame({"doc_id": b["doc_id"], "posterior": belief, "score": got,
+                                "kept": [g >= keep for g in got]})
 
     return from_python(for_python(docs, id_col, text_col).mapInPandas(
         run, "doc_id string, posterior double, score double, kept boolean"))
