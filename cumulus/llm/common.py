@@ -33,9 +33,22 @@ def text_of(value) -> str:
     return value if isinstance(value, str) else ""
 
 
+#: Rows of a batch that crosses to Python, at most: texts can be long.
+BATCH_ROWS = 2000
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(docs: DataFrame) -> None:
+    """Sets the session's batch size down to BATCH_ROWS, which bounds a worker's memory."""
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_CONF)) <= BATCH_ROWS:
+        conf.set(BATCH_CONF, str(BATCH_ROWS))
+
+
 def for_python(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """doc_id (as text: pandas would turn a column with NULLs into doubles), text and
     more columns for a map over pandas batches; ids come back through from_python."""
+    small_batches(docs)
     return docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"), *more)
 
 

@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cumulus.llm.common import checked_broadcast, fresh, text_of
+from cumulus.llm.common import checked_broadcast, fresh, small_batches, text_of
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -103,6 +103,7 @@ def base_failed(m: str = "") -> Column:
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              stratum_col: str = "lang") -> DataFrame:
     """doc_id, stratum and the metrics of every document."""
+    small_batches(docs)
     m = docs.select(F.col(id_col).alias("doc_id"), stratum_of(F.col(stratum_col)).alias("stratum"),
                     metrics(F.col(text_col)).alias("m"))
     return m.select("doc_id", "stratum", "m.*")
