@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_left
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -33,6 +35,19 @@ def text_of(value) -> str:
     return value if isinstance(value, str) else ""
 
 
+class Taken:
+    """Spans (start, end) to look up overlaps in, each in logarithmic time."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        spans = sorted(spans)
+        self.starts, self.ends = [a for a, _ in spans], list(accumulate((b for _, b in spans), max))
+
+    def meets(self, start: int, end: int) -> bool:
+        """Whether some span has a place between start and end (exclusive)."""
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.ends[before - 1] > start
+
+
 #: Rows of a batch that crosses to Python, at most: texts can be long.
 BATCH_ROWS = 2000
 BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from cumulus.llm.common import for_python, from_python, text_of
+from cumulus.llm.common import Taken, for_python, from_python, text_of
 
 KINDS = ("email", "ip", "card", "phone", "iban", "account", "login")
 
@@ -208,9 +208,9 @@ class Finder:
             else:
                 add("login", login_after(text, last + 1))
         # an added span inside one of the base kinds says nothing new
-        base = [s for k in KINDS[:4] for s in found[k]]
+        base = Taken([s for k in KINDS[:4] for s in found[k]])
         for k in KINDS[4:]:
-            found[k] = [s for s in found[k] if not any(a < s[1] and s[0] < b for a, b in base)]
+            found[k] = [s for s in found[k] if not base.meets(*s)]
         return [(k, a, b) for k in KINDS for a, b in found[k]]
 
 

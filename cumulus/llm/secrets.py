@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from cumulus.llm.common import for_python, from_python, text_of
+from cumulus.llm.common import Taken, for_python, from_python, text_of
 
 KINDS = ("assign", "access", "hex", "novel")
 
@@ -118,14 +118,14 @@ class Scanner:
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         """All spans (kind, start, end), by start, then kind as listed."""
         found = self.base(text)
-        taken, done = sorted((a, b) for _, a, b in found), 0
+        taken, done = Taken([(a, b) for _, a, b in found]), 0
         news: set[str] = set()
         for cue in CUE.finditer(text):
             for m in CANDIDATE.finditer(text, max(done, cue.end())):
                 if m.start() > cue.end() + REACH:
                     break
                 done = m.end()
-                if any(a < m.end() and m.start() < b for a, b in taken):
+                if taken.meets(m.start(), m.end()):
                     continue
                 if m.group() in news or self.is_news(text, m.start(), m.end()):
                     news.add(m.group())

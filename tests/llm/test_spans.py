@@ -1,5 +1,6 @@
 """Secret and personal-data spans against plain pattern searches."""
 
+import random
 import re
 
 import pandas as pd
@@ -7,6 +8,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from cumulus.llm import pii, secrets
+from cumulus.llm.common import Taken
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -116,3 +118,14 @@ def test_spans_per_row(spark):
     got = secrets.find_secrets(df).where("doc_id = 5").head().spans
     assert [tuple(s) for s in got] == [("assign", 120006, 120021)]
     assert secrets.find_secrets(df.limit(0)).count() == 0
+
+
+def test_overlaps_against_all_spans():
+    rnd = random.Random(5)
+    for _ in range(300):
+        spans = [(a, a + rnd.randint(1, 9)) for a in (rnd.randrange(60) for _ in range(rnd.randrange(8)))]
+        taken = Taken(spans)
+        for _ in range(20):
+            x = rnd.randrange(60)
+            y = x + rnd.randint(1, 9)
+            assert taken.meets(x, y) == any(a < y and x < b for a, b in spans)
