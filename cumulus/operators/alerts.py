@@ -61,7 +61,8 @@ INACTIVE, PENDING, EXPIRED = 0, 1, 2
 
 
 def advance(state, until, t, p, thr, margin, hold):
-    """(state, until) after a reading p at time t (microseconds, as hold and until)."""
+    """(state, until) after a reading p at time t (microseconds, as hold and until); a NaN
+    neither triggers nor clears."""
     if state == PENDING and t >= until:
         state = EXPIRED
     if state == EXPIRED:
@@ -77,6 +78,99 @@ def advance(state, until, t, p, thr, margin, hold):
     return INACTIVE, None
 
 
+class Readings:
+    """The machine over the readings of one chunk (times in order, microseconds), by whole
+    episodes: an episode begins with a trigger, its hold is extended by the triggers that
+    follow within a hold of each other, and it ends with the first low reading after that.
+    An episode lasts at least one hold, so a walk has at most span / hold + 1 steps."""
+
+    def __init__(self, t: np.ndarray, p: np.ndarray, threshold: float, margin: float, hold: int):
+        self.t, self.n, self.hold = t, len(t), hold
+        self.trigger = np.flatnonzero(p >= threshold)
+        self.low = np.flatnonzero(p < threshold - margin)
+        tt = t[self.trigger]
+        # per trigger: the last one of its run, and the row at which its episode is off
+        ends = np.append(np.flatnonzero(np.diff(tt) >= hold), len(tt) - 1) if len(tt) else np.empty(0, np.int64)
+        self.end = ends[np.searchsorted(ends, np.arange(len(tt)))] if len(tt) else ends
+        self.until = tt[self.end] + hold
+        expired = np.maximum(np.searchsorted(t, self.until), self.trigger[self.end] + 1)
+        self.off = self.low_from(expired)
+
+    def low_from(self, row):
+        """The first low reading at or after the row(s); n if there is none."""
+        return np.append(self.low, self.n)[np.searchsorted(self.low, row)]
+
+    def walk(self, row: int):
+        """The episodes after an inactive reading (-1: from the start): the trigger's number each."""
+        k = int(np.searchsorted(self.trigger, row, side="right"))
+        while k < len(self.trigger):
+            yield k
+            if self.off[k] == self.n:
+                return
+            k = int(np.searchsorted(self.trigger, self.off[k], side="right"))
+
+    def final(self, row: int) -> tuple[int, int | None]:
+        """(state, until) after the last reading, if inactive after the given one."""
+        last = None
+        for last in self.walk(row):
+            pass
+        if last is None or self.off[last] < self.n:
+            return INACTIVE, None
+        return (PENDING if self.until[last] > self.t[-1] else EXPIRED), int(self.until[last])
+
+    def summary(self) -> dict:
+        """The outcome for every entering state, in a few numbers (see `through`)."""
+        first = int(self.trigger[0]) if len(self.trigger) else self.n
+        before = self.low[self.low < first]
+        after = self.n if first == self.n else int(self.low_from(first))
+        on, late = self.final(-1), (None, None)
+        if after < self.n:
+            late = self.final(after)
+        return {"t_low": int(self.t[before[-1]]) if len(before) else None,
+                "t_edge": int(self.t[min(first, self.n - 1)]), "triggered": first < self.n,
+                "on_state": on[0], "on_until": on[1], "late_state": late[0], "late_until": late[1]}
+
+    def states(self, state: int, until: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Alert (0/1) and until (0 where off) of every reading, from the entering state."""
+        alert, untils = np.zeros(self.n, np.int32), np.zeros(self.n, np.int64)
+        row = -1
+        if state != INACTIVE:
+            row = expired = 0 if state == EXPIRED else int(np.searchsorted(self.t, until))
+            first = int(self.trigger[0]) if len(self.trigger) else self.n
+            if first < expired:
+                row, stop = first - 1, first
+            else:
+                row = stop = int(self.low_from(expired))
+            alert[:stop], untils[:stop] = 1, until
+        for k in self.walk(row):
+            rows = slice(int(self.trigger[k]), int(self.off[k]))
+            alert[rows] = 1
+            reached = np.searchsorted(self.trigger, np.arange(rows.start, rows.stop), side="right") - 1
+            untils[rows] = self.t[self.trigger[np.minimum(reached, self.end[k])]] + self.hold
+        return alert, untils
+
+
+SUMMARY = ("t_low long, t_edge long, triggered boolean, on_state int, on_until long, "
+           "late_state int, late_until long")
+
+
+def through(s: dict, state: int, until: int | None) -> tuple[int, int | None]:
+    """(state, until) after a chunk of this summary, entered in the given state.
+
+    t_low is the last low reading before the first trigger, t_edge the first trigger (or the
+    last reading).  Off before the first trigger, or held until after it: as if inactive
+    from the start.  Expired in between: off with the first low reading after the trigger,
+    if any.  So the outcome as a function of `until` has three intervals."""
+    if state == INACTIVE:
+        return s["on_state"], s["on_until"]
+    pending = state == PENDING and until > s["t_edge"]
+    if pending and not s["triggered"]:
+        return PENDING, until
+    if pending or (s["t_low"] is not None and (state == EXPIRED or until <= s["t_low"])):
+        return s["on_state"], s["on_until"]
+    return (EXPIRED, until) if s["late_state"] is None else (s["late_state"], s["late_until"])
+
+
 def alert_hysteresis(df: DataFrame, prob: str = "probability", threshold: float = 0.5,
                      margin: float = CLEAR_MARGIN, hold_minutes: float = HOLD_MINUTES,
                      spec: SeriesSpec = DEFAULT) -> DataFrame:
@@ -85,112 +179,63 @@ def alert_hysteresis(df: DataFrame, prob: str = "probability", threshold: float
     after the hold end: off only when p < thr - margin (else stays on, hold
     not extended).  Adds ``alert`` (0/1) and ``alert_until``.
 
-    Chunked exactly: each chunk is simulated from every class of entering
-    state (off, expired, or pending until u, where u only matters relative
-    to the row times within one hold of the chunk start), the classes'
-    outcomes are composed over the chunk summary, and each chunk is then
-    re-run from its true entering state."""
+    Readings of one time go by probability, those without one first, as in the stream.  A
+    NULL or NaN probability neither triggers nor clears; a reading without a time takes no
+    part and has NULL in both columns.
+
+    Chunked exactly, in linear time: the outcome of a chunk for all entering states is a few
+    numbers (`Readings.summary`), composed over the chunk summary; each chunk is then run
+    by whole episodes from its true entering state."""
     keys = list(spec.keys)
     hold = int(hold_minutes * S.US_PER_MINUTE)
-    C = spec.chunk_rows
-    xp = S.with_positions(df, spec)
-    chunk = F.col(S.PC) if S.PC in xp.columns else F.floor(F.col(POS) / F.lit(C))
-    x = (xp.withColumn(CH, chunk.cast("long"))
-         .withColumn("_t", S.micros(spec.ts)).withColumn("_p", F.col(prob).cast("double")))
-    key_fields = [f for f in x.schema.fields if f.name in keys]
-    summ_schema = T.StructType(key_fields + [
-        T.StructField(CH, T.LongType()), T.StructField("t0", T.LongType()),
-        T.StructField("times", T.ArrayType(T.LongType())),           # row times within one hold of t0
-        T.StructField("out_state", T.ArrayType(T.IntegerType())),    # per class: final state
-        T.StructField("out_until", T.ArrayType(T.LongType())),       # per class: final until (or null)
-        T.StructField("out_pass", T.ArrayType(T.BooleanType()))])    # per class: until passed through
+    p = F.nanvl(F.col(prob).cast("double"), F.lit(None).cast("double"))
+    x, chunk = S.row_chunks(S.with_positions(df, spec, ties=[p]), spec)
+    x = x.withColumn("_t", S.micros(spec.ts)).withColumn("_p", p)
+    named = T.StructType([f for f in x.schema.fields if f.name in keys]
+                         + [T.StructField(c, T.LongType()) for c in chunk])
+
+    def readings(pdf: pd.DataFrame) -> Readings:
+        return Readings(pdf["_t"].to_numpy(dtype="int64"), pdf["_p"].to_numpy(dtype="float64"), threshold, margin, hold)
 
     def outcomes(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POS)
-        ts, ps = pdf["_t"].to_numpy(), pdf["_p"].to_numpy(dtype="float64")
-        t0 = int(ts[0])
-        near = [int(t) for t in ts if t < t0 + hold]
-        classes = [(INACTIVE, None), (EXPIRED, None)]
-        # pending until u in (near[k-1], near[k]] ; representative u = near[k];
-        # the last class (near[-1], t0 + hold] uses u = t0 + hold
-        reps = near[1:] + [t0 + hold]
-        classes += [(PENDING, u) for u in reps]
-        st, un, pas = [], [], []
-        for s0, u0 in classes:
-            s1, u1, inc = s0, u0, s0 == PENDING
-            for i in range(len(ts)):
-                t, p = int(ts[i]), ps[i]
-                if s1 == PENDING and t >= u1:
-                    s1 = EXPIRED
-                if s1 == EXPIRED:
-                    if p < threshold - margin:
-                        s1, u1, inc = INACTIVE, None, False
-                elif s1 == PENDING:
-                    if p >= threshold:
-                        u1, inc = t + hold, False
-                elif p >= threshold:
-                    s1, u1, inc = PENDING, t + hold, False
-            st.append(int(s1))
-            un.append(None if u1 is None else int(u1))
-            pas.append(bool(inc and s1 != INACTIVE))
-        row = {k: pdf[k].iloc[0] for k in keys}
-        row.update({CH: int(pdf[CH].iloc[0]), "t0": t0, "times": near[1:], "out_state": st,
-                    "out_until": un, "out_pass": pas})
-        return pd.DataFrame([row])
-
-    cols = keys + [CH, POS, "_t", "_p"]
-    summ = x.select(*cols).groupBy(*keys, CH).applyInPandas(outcomes, summ_schema)
-    in_schema = T.StructType(key_fields + [T.StructField(CH, T.LongType()),
-                                           T.StructField("in_state", T.IntegerType()),
-                                           T.StructField("in_until", T.LongType())])
+        row = {c: pdf[c].iloc[0] for c in keys + chunk}
+        return pd.DataFrame([row | readings(pdf.sort_values(POS)).summary()])
+
+    parts = T.StructType(named.fields + T.StructType.fromDDL(SUMMARY).fields)
+    summ = (x.where(F.col("_t").isNotNull()).select(*keys, *chunk, POS, "_t", "_p")
+             .groupBy(*keys, *chunk).applyInPandas(outcomes, parts))
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(CH)
-        chs, t0s = pdf[CH].to_numpy(), pdf["t0"].to_numpy()
-        times_l, st_l = pdf["times"].to_list(), pdf["out_state"].to_list()
-        un_l, pas_l = pdf["out_until"].to_list(), pdf["out_pass"].to_list()
-        state, until = INACTIVE, None
-        in_state, in_until = np.empty(len(pdf), dtype=np.int32), []
-        for c in range(len(pdf)):
-            in_state[c] = state
-            in_until.append(until)
-            t0 = int(t0s[c])
-            if state == INACTIVE:
-                k = 0
-            elif state == EXPIRED or (state == PENDING and until <= t0):
-                k = 1
-            else:
-                times = np.asarray(times_l[c], dtype=np.int64)
-                k = 2 + int(np.searchsorted(times, until, side="left"))
-            s1, u1, pas = int(st_l[c][k]), un_l[c][k], bool(pas_l[c][k])
-            state, until = s1, (until if pas else (None if u1 is None or pd.isna(u1) else int(u1)))
-        out = pdf[keys].copy()
-        out[CH] = chs
-        out["in_state"] = in_state
-        out["in_until"] = pd.array(in_until, dtype="Int64")
+        pdf = pdf.sort_values(chunk)
+        entered, now = [], (INACTIVE, None)
+        for s in pdf.drop(columns=keys).to_dict("records"):
+            entered.append(now)
+            now = through({k: None if pd.isna(v) else v if k == "triggered" else int(v) for k, v in s.items()}, *now)
+        out = pdf[keys + chunk].copy()
+        out["in_state"] = np.array([e[0] for e in entered], dtype=np.int32)
+        out["in_until"] = pd.array([e[1] for e in entered], dtype="Int64")
         return out
 
-    entering = summ.groupBy(*keys).applyInPandas(compose, in_schema)
-    y = x.join(entering, keys + [CH], "left")
+    entry = [T.StructField("in_state", T.IntegerType()), T.StructField("in_until", T.LongType())]
+    entering = summ.groupBy(*keys).applyInPandas(compose, T.StructType(named.fields + entry))
+    y = x.join(entering, keys + chunk, "left")
     out_schema = T.StructType(list(y.schema.fields) + [T.StructField("alert", T.IntegerType()),
                                                        T.StructField("_until", T.LongType())])
 
     def final(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(POS)
-        ts, ps = pdf["_t"].to_numpy(), pdf["_p"].to_numpy(dtype="float64")
-        state = int(pdf["in_state"].iloc[0])
-        u = pdf["in_until"].iloc[0]
-        until = None if pd.isna(u) else int(u)
-        alert = np.zeros(len(pdf), dtype=np.int32)
-        untils = []
-        for i in range(len(ts)):
-            state, until = advance(state, until, int(ts[i]), ps[i], threshold, margin, hold)
-            alert[i] = 1 if state != INACTIVE else 0
-            untils.append(until if state != INACTIVE else None)
-        pdf["alert"] = alert
-        pdf["_until"] = pd.array(untils, dtype="Int64")
+        timed = pdf["_t"].notna().to_numpy()
+        alert = pd.array([None] * len(pdf), dtype="Int32")
+        until = pd.array([None] * len(pdf), dtype="Int64")
+        if timed.any():
+            part = pdf[timed]
+            at = part["in_until"].iloc[0]
+            on, held = readings(part).states(int(part["in_state"].iloc[0]), None if pd.isna(at) else int(at))
+            alert[timed] = on
+            until[np.flatnonzero(timed)[on == 1]] = held[on == 1]
+        pdf["alert"], pdf["_until"] = alert, until
         return pdf
 
-    res = y.groupBy(*keys, CH).applyInPandas(final, out_schema)
+    res = y.groupBy(*keys, *chunk).applyInPandas(final, out_schema)
     res = res.withColumn("alert_until", F.timestamp_micros("_until"))
     return res.drop("_t", "_p", "_until", "in_state", "in_until", CH)

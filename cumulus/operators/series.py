@@ -137,10 +137,10 @@ def time_frames(df: DataFrame, spec: SeriesSpec,
 NO_TIME = 1 << 40
 
 
-def with_positions(df: DataFrame, spec: SeriesSpec = DEFAULT) -> DataFrame:
+def with_positions(df: DataFrame, spec: SeriesSpec = DEFAULT, ties: Sequence[Column] = ()) -> DataFrame:
     """Add ``_s_pos`` (0-based position in the series by event time) and
-    ``_s_n`` (series length).  Ties in time are ordered by a row hash so the
-    numbering is the same on every recomputation.  Rows without a time come
+    ``_s_n`` (series length).  Ties in time are ordered by ``ties``, then by a row hash, so
+    the numbering is the same on every recomputation.  Rows without a time come
     last; rows without a key belong to no series and are left out (take them
     out first with ``validate_schema``, which names them)."""
     if POS in df.columns:
@@ -159,7 +159,7 @@ def with_positions(df: DataFrame, spec: SeriesSpec = DEFAULT) -> DataFrame:
         F.sum("_s_cnt").over(Window.partitionBy(*keys)).alias(NROWS))
     x = x.join(offs, on=keys + [TB], how="inner")
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    wb = Window.partitionBy(*keys, TB).orderBy(US, tie)
+    wb = Window.partitionBy(*keys, TB).orderBy(US, *ties, tie)
     x = x.withColumn(POS, F.col("_s_off") + F.row_number().over(wb) - F.lit(1))
     # keep the bucket as ``_s_pc``: a contiguous chunk of the series that the
     # data is already partitioned by, reused by scans and recurrences
