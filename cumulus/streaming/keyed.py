@@ -5,56 +5,47 @@ the watermark has passed them and are then stepped through by time, rows of one
 time together.  Rows that come behind the watermark are dropped by the engine,
 which counts them (``numRowsDroppedByWatermark``); `streams.run_append` and
 `streams.run_foreach_batch` write that count beside the output.
+
+State is kept in pieces, so what a batch reads and writes grows with its new rows and
+not with all that waits:
+
+* ``waiting``: a map from time bucket to the rows that wait in it.  A timer at the bucket's
+  end hands them on; nothing else touches them.
+* ``history``: a map from time bucket to the rows of the last ``span`` that the steps
+  look back at.  A step writes its own bucket and removes those that are too old.
+* ``value``: the small rest that a step carries on (an average, an alert's state).
+
+A key that falls silent loses its history by a timer when the span has passed, and its value
+too if that is what a new key starts with, so this changes no result.  With ``keep`` its
+value goes after that time (microseconds) whatever it is, and the key starts anew if it
+comes back; the rule is applied by the rows' times, so batches don't change it.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections import deque
+from collections import defaultdict, deque
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
-#: Rows that wait, and what the steps carry, both as the operator packs them.
-STATE = "waiting binary, carried binary"
+#: Rows of this many microseconds wait and are handed on together (whole milliseconds).
+BUCKET_US = 600_000_000
 
-
-def in_order(stream: DataFrame, key: str, ts: str, watermark: str, out: str,
-             start: Callable[[], object], step: Callable) -> DataFrame:
-    """``step(carried, key, t_us, peers) -> (carried, rows)`` for each time of each
-    key; peers are the named rows of that time, rows tuples for the columns of out."""
-    names = [c.split()[0] for c in out.split(", ")]
-
-    def fn(k, pdfs: Iterator[pd.DataFrame], state):
-        waiting, carried = (pickle.loads(x) for x in state.get) if state.exists else ([], start())
-        for pdf in pdfs:
-            us = pd.to_datetime(pdf[ts]).astype("datetime64[us]").astype("int64")
-            waiting += list(zip(us.tolist(), pdf.to_dict("records")))
-        waiting.sort(key=lambda x: x[0])
-        passed = state.getCurrentWatermarkMs()
-        ready = [x for x in waiting if x[0] // 1000 <= passed]
-        waiting = waiting[len(ready):]
-        rows = []
-        for t, peers in groupby(ready, key=lambda x: x[0]):
-            carried, got = step(carried, k[0], t, [p for _, p in peers])
-            rows += got
-        state.update((pickle.dumps(waiting), pickle.dumps(carried)))
-        if waiting:
-            state.setTimeoutTimestamp(max(passed + 1, waiting[0][0] // 1000))
-        yield pd.DataFrame(rows, columns=names)
-
-    return (stream.withWatermark(ts, watermark).groupBy(key)
-                  .applyInPandasWithState(fn, out, STATE, "append", GroupStateTimeout.EventTimeTimeout))
+#: Timers and maps need this state store.
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class History:
     """The rows (t, values...) of the last span microseconds."""
 
-    def __init__(self, span: int):
-        self.span, self.rows = span, deque()
+    def __init__(self, span: int, rows=()):
+        self.span, self.rows = span, deque(rows)
 
     def forget(self, t: int) -> None:
         while self.rows and self.rows[0][0] < t - self.span:
@@ -67,6 +58,113 @@ class History:
         return next((r for r in self.rows if r[0] >= t), None)
 
 
+class InOrder(StatefulProcessor):
+    """Steps through each key's rows; see `in_order` for the parameters."""
+
+    def __init__(self, ts: str, names: list[str], start: Callable, step: Callable, span: int, width: int,
+                 keep: int | None):
+        self.ts, self.names, self.start, self.step = ts, names, start, step
+        self.span, self.width, self.keep = span, width, keep
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "bucket long", "rows binary")
+        self.history = handle.getMapState("history", "bucket long", "rows binary")
+        # due: time of the timer that clears a silent key, in milliseconds
+        self.value = handle.getValueState("value", "packed binary, last long, due long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for pdf in rows:
+            new = defaultdict(list)
+            us = pd.to_datetime(pdf[self.ts]).astype("datetime64[us]").astype("int64")
+            for t, row in zip(us.tolist(), pdf.to_dict("records")):
+                new[t // self.width].append((t, row))
+            for bucket, more in new.items():
+                before = self.waiting.getValue((bucket,)) if self.waiting.containsKey((bucket,)) else None
+                if before is None:
+                    self.handle.registerTimer((bucket + 1) * self.width // 1000)
+                else:
+                    more = pickle.loads(before[0]) + more
+                self.waiting.updateValue((bucket,), (pickle.dumps(more),))
+        yield pd.DataFrame(columns=self.names)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        bucket, inside = divmod(at * 1000, self.width)
+        out = []
+        if not inside and self.waiting.containsKey((bucket - 1,)):
+            out = self.hand_on(key, bucket - 1)
+        elif self.value.exists():
+            packed, last, due = self.value.get()
+            if due == at:
+                self.clear(packed, last, due)
+        yield pd.DataFrame(out, columns=self.names)
+
+    def hand_on(self, key, bucket: int) -> list[tuple]:
+        rows = sorted(pickle.loads(self.waiting.getValue((bucket,))[0]), key=lambda x: x[0])
+        self.waiting.removeKey((bucket,))
+        value, last, due = self.start(), None, None
+        if self.value.exists():
+            packed, last, due = self.value.get()
+            value = pickle.loads(packed)
+        stored = sorted((k[0], v[0]) for k, v in self.history.iterator()) if self.span else []
+        past = History(self.span, [r for _, packed in stored for r in pickle.loads(packed)])
+        out = []
+        for t, peers in groupby(rows, key=lambda x: x[0]):
+            past.forget(t)
+            if self.keep is not None and last is not None and t - last >= self.keep:
+                value = self.start()  # also if the timer is not due yet, so batches change nothing
+            value, got = self.step(value, past, key[0], t, [p for _, p in peers])
+            out += got
+            last = t
+        end = (bucket + 1) * self.width
+        for k, _ in stored:
+            if (k + 1) * self.width <= end - self.span:
+                self.history.removeKey((k,))
+        own = [r for r in past.rows if r[0] // self.width == bucket]
+        if own:
+            self.history.updateValue((bucket,), (pickle.dumps(own),))
+        if due is not None:
+            self.handle.deleteTimer(due)
+        self.wait_for_silence(pickle.dumps(value), last, self.span, end)
+        return out
+
+    def wait_for_silence(self, packed: bytes, last: int, silent: int, end: int) -> None:
+        # half a bucket off the buckets' ends, so that no timer stands for both
+        due = (-(-max(last + silent, end) // self.width) * self.width + self.width // 2) // 1000
+        self.handle.registerTimer(due)
+        self.value.update((packed, last, due))
+
+    def clear(self, packed: bytes, last: int, due: int) -> None:
+        self.history.clear()
+        gone = self.keep is not None and due * 1000 >= last + self.keep
+        if gone or pickle.loads(packed) == self.start():
+            self.value.clear()
+        elif self.keep is not None:
+            self.wait_for_silence(packed, last, max(self.keep, self.span), due * 1000)
+        else:
+            self.value.update((packed, last, None))
+
+
+def in_order(stream: DataFrame, key: str, ts: str, watermark: str, out: str, start: Callable[[], object],
+             step: Callable, span: int = 0, bucket_us: int = BUCKET_US, keep: int | None = None) -> DataFrame:
+    """``step(value, past, key, t_us, peers) -> (value, rows)`` for each time of each
+    key; peers are the named rows of that time, rows tuples for the columns of out.
+
+    past (`History`) has the tuples that earlier steps put into ``past.rows`` in the last ``span``
+    microseconds.  Rows come out when the watermark has passed the end of their bucket.
+    Rows without a key or a time have no place in a series and are left out."""
+    spark = stream.sparkSession
+    if spark.conf.get(PROVIDER, None) != ROCKS:
+        spark.conf.set(PROVIDER, ROCKS)
+    if bucket_us % 2000:
+        raise ValueError("a bucket is an even number of milliseconds")
+    names = [c.split()[0] for c in out.split(", ")]
+    rows = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    return (rows.withWatermark(ts, watermark).groupBy(key).transformWithStateInPandas(
+        InOrder(ts, names, start, step, span, bucket_us, keep), out, "append", "eventTime"))
+
+
 def number(v) -> float | None:
     """None for NULL and NaN."""
     return None if v is None or v != v else float(v)
