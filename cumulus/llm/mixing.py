@@ -13,9 +13,9 @@ range); what runs per source has one row per range, and what runs over all has
 one row per source.
 
 Defined results: NULL text has size 0 and takes 0; NULL sources are one source
-of their own, last in order; NULL ids share a key and are told apart by their
-size; rows that repeat are separate rows, each with its own share; ties of the
-key are broken by id and size; an empty table gives an empty result.  Columns of
+of their own, last in order; a row without an id has a key by its text; rows that repeat
+are separate rows, each with its own share (but one key, so copies of one id, or of one
+text without an id, share a range); ties of the key are broken by id and size; an empty table gives an empty result.  Columns of
 the input stay, also if their names equal ours (ours win).
 """
 
@@ -29,8 +29,11 @@ from cumulus.llm.common import fresh, word_count
 RANGE_DIGITS = 3
 
 
-def random_key(id_col: Column, seed: str) -> Column:
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(id_col.cast("string"), F.lit(""))).cast("binary"))
+def random_key(id_col: Column, text_col: Column, seed: str) -> Column:
+    """By the id; a row without one goes by its text, so such rows spread over all ranges."""
+    text = F.md5(F.coalesce(text_col, F.lit("")).cast("binary"))
+    named = F.coalesce(id_col.cast("string"), F.concat(F.lit("~"), text))
+    return F.md5(F.concat(F.lit(seed + ":"), named).cast("binary"))
 
 
 def source_targets(sizes: DataFrame, weights: list[float], share: float, most: float) -> DataFrame:
@@ -70,7 +73,7 @@ def mix(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, m
             .withColumn("size", word_count(F.col(text_col)))
             # '=' + source sorts as source does, and before the key of NULL
             .withColumn(skey, F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("~")))
-            .withColumn(key, random_key(F.col(id_col), seed))
+            .withColumn(key, random_key(F.col(id_col), F.col(text_col), seed))
             .withColumn(bucket, F.substring(key, 1, RANGE_DIGITS)))
     sums = rows.groupBy(skey, bucket).agg(F.sum("size").alias(part))
     per_source = sums.groupBy(F.col(skey).alias("skey")).agg(F.sum(part).alias("source_size"))

@@ -112,3 +112,17 @@ def test_mix_of_nothing(spark):
     assert mixing.mix(df).count() == 0 and mixing.mixed_documents(df).count() == 0
     df = spark.createDataFrame([(1, "a", None), (2, None, " ")], "doc_id long, source string, text string")
     assert [(r["size"], r.taken) for r in mixing.mix(df).collect()] == [(0, 0)] * 2
+
+
+def test_rows_without_id_spread_over_the_ranges(spark):
+    """A third of the rows has no id: no range of the keys is far above the others."""
+    df = spark.range(30000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("hot").alias("source"),
+                                   F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"))
+    key = mixing.random_key(F.col("doc_id"), F.col("text"), "mix-1")
+    sizes = [r["count"] for r in df.groupBy(F.substring(key, 1, 2)).count().collect()]
+    assert len(sizes) == 256 and max(sizes) < 3 * sorted(sizes)[128]
+    got = mixing.mix(df)
+    assert got.agg(F.sum("taken")).first()[0] == 90000
+    # rows without an id are drawn as the others are, about half of them twice
+    shares = {r[0]: r[1] for r in got.groupBy(F.col("doc_id").isNull()).agg(F.avg(F.col("taken") / F.col("size"))).collect()}
+    assert abs(shares[True] - 1.5) < 0.05 and abs(shares[False] - 1.5) < 0.05
