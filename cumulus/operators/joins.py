@@ -1,7 +1,7 @@
 """Lookups and dictionary joins.
 
-Dimension tables are broadcast only after their row count has been checked
-against a bound; beyond it the join stays a shuffle join (and AQE may still
+Dimension tables are broadcast only after their rows and bytes have been measured
+against bounds; beyond them the join stays a shuffle join (and AQE may still
 turn it into a broadcast from runtime sizes, or split skewed keys).
 """
 
@@ -9,16 +9,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest dimension we broadcast without asking (rows).
+from cumulus.operators.series import materialize
+
+# Largest dimension we broadcast: both bounds hold.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+# What a row and a fixed-width value take, about, once broadcast.
+ROW_BYTES, VALUE_BYTES = 32, 8
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a table: fixed widths by the schema, others by their contents."""
+    fixed = ROW_BYTES + VALUE_BYTES * len(df.columns)
+    wide = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            wide = wide + F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            wide = wide + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+    rows, contents = df.agg(F.count(F.lit(1)), F.sum(wide)).first()
+    return rows, rows * fixed + (contents or 0)
 
 
 def attach(big: DataFrame, small: DataFrame, on, how: str = "left",
-           max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join ``small`` onto ``big``: broadcast when ``small`` has at most
-    ``max_rows`` rows (counted first), else a plain shuffle join."""
-    if small.count() <= max_rows:
+           max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Join ``small`` onto ``big``: broadcast when ``small`` is within both bounds as
+    measured, else a plain shuffle join.  ``small`` is computed once and cut."""
+    small = materialize(small)
+    rows, size = measured(small)
+    if rows <= max_rows and size <= max_bytes:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 

@@ -10,7 +10,7 @@ from cumulus.operators import quality as QC
 from cumulus.operators import windows as W
 from cumulus.plans.common import finish, r
 from cumulus.plans.q_predicates import BEST_F1_THRESHOLD
-from cumulus.plans.q_windows import KEY, error_filters_sql
+from cumulus.plans.q_windows import _STATION_SQL, KEY, error_filters_sql
 from cumulus.plans.registry import query
 from cumulus.session import scratch_dir
 from cumulus.sources import fixtures as fx
@@ -66,14 +66,21 @@ def q_latest_reading(spark, sf):
     return finish(ST.latest_reading(fx.sensor_raw(spark, sf).select(*KEY, "rainfall_mm", "pressure")))
 
 
-@query("append_reading", section="2.1")
+@query("append_reading", views=("sensor_grid", "sensor_raw"), section="2.1", sql=f"""
+SELECT location_id, timestamp, {r('rainfall_mm')} AS rainfall_mm, {r('pressure')} AS pressure, true AS stamped
+FROM (SELECT location_id, timestamp, rainfall_mm, pressure FROM sensor_grid
+      UNION ALL SELECT location_id, timestamp, rainfall_mm, pressure FROM sensor_raw)""")
 def q_append(spark, sf):
-    """Typed records appended with created_at; the table read back."""
+    """Typed records appended with created_at; the table read back, with what is stored
+    of them and whether created_at is a time of this run."""
     path = _scratch(spark, "appended")
     g = fx.sensor_grid(spark, sf)
     ST.append_reading(g, path)
+    began = F.lit(spark.sql("SELECT current_timestamp()").first()[0])
     ST.append_reading(fx.sensor_raw(spark, sf), path)
-    return spark.read.parquet(path)
+    got = spark.read.parquet(path)
+    return finish(got.select(*KEY, "rainfall_mm", "pressure", F.col("created_at").between(
+        began - F.expr("interval 1 hour"), F.current_timestamp()).alias("stamped")))
 
 
 @query("validate_schema", views=("sensor_dirty",), section="2.1", sql="""
@@ -115,24 +122,24 @@ def q_upsert(spark, sf):
     return ST.upsert_last_wins(fx.meta_log(spark, sf))
 
 
-@query("write_features_csv", section="2.1")
+@query("write_features_csv", views=("sensor_grid",), section="2.1", sql=f"""
+SELECT timestamp, location_id, rain_last_5min, rain_last_15min, pressure_drop_15min, humidity_change FROM ({_STATION_SQL})""")
 def q_write_csv(spark, sf):
-    """Engineered table written with a header in fixed column order, read
-    back as text."""
+    """Engineered table written with a header in fixed column order, read back by
+    the names in the files' header."""
     path = _scratch(spark, "features_csv")
     cols = ["timestamp", "location_id", "rain_last_5min", "rain_last_15min", "pressure_drop_15min", "humidity_change"]
     SK.write_features_csv(W.history_features_station(fx.sensor_grid(spark, sf)), path, cols)
-    return spark.read.option("header", True).csv(path)
+    typed = ", ".join(f"{c} {'string' if c == 'location_id' else 'timestamp' if c == 'timestamp' else 'double'}" for c in cols)
+    back = spark.read.option("header", True).option("enforceSchema", False).schema(typed).csv(path)
+    return finish(back)
 
 
 @query("error_log", views=("raw_station",), section="2.1", sql=error_filters_sql("raw_station") + """
 SELECT location_id, timestamp, temp_err, hum_err, press_err, rain_err, wind_err FROM f WHERE any_error""")
 def q_error_log(spark, sf):
-    """Rows with any quality error, written to the error sink; the checked
-    table is persisted because it feeds the log and the cleaning step."""
-    from pyspark import StorageLevel
-    checked = QC.error_filters(fx.raw_station(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
-    errs = SK.error_log(checked, _scratch(spark, "error_log"))
+    """Rows with any quality error, written to the error sink."""
+    errs = SK.error_log(QC.error_filters(fx.raw_station(spark, sf)), _scratch(spark, "error_log"))
     return errs.select(*KEY, "temp_err", "hum_err", "press_err", "rain_err", "wind_err")
 
 

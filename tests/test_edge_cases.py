@@ -153,3 +153,16 @@ def test_time_window_closedness(spark, closed, expect):
     d = mk(spark, [("a", at(0), 1.0, 1.0, 1.0), ("a", at(5), 2.0, 1.0, 1.0), ("a", at(15), 4.0, 1.0, 1.0)])
     got = W.rain_time_sums(d, windows=(5,), closed=closed)
     assert [v or 0.0 for v in by_ts(got, "rain_5")] == expect
+
+
+def test_broadcasts_are_bounded_by_bytes(spark):
+    from cumulus.operators import joins as J
+    small = spark.createDataFrame([(1, "x" * 1000, [1, 2]), (2, None, None)], "k long, s string, a array<int>")
+    n, size = J.measured(small)
+    assert n == 2 and 1000 < size < 1300
+    assert J.measured(small.limit(0)) == (0, 0)
+    big = spark.range(4).withColumnRenamed("id", "k")
+    for bound, broadcast in ((1 << 20, True), (500, False)):
+        out = J.attach(big, small, "k", max_bytes=bound)
+        assert ("strategy=broadcast" in out._jdf.queryExecution().logical().toString()) == broadcast
+        assert sorted((r.k, r.s and len(r.s)) for r in out.collect()) == [(0, None), (1, 1000), (2, None), (3, None)]
