@@ -167,7 +167,10 @@ class Forest:
         x = spread(df)
         for m, name in zip(self.parts, names):
             x = m.copy({m.probabilityCol: name, m.rawPredictionCol: "", m.predictionCol: ""}).transform(x)
-        votes = [F.transform(vector_to_array(n), lambda v, s=s: v * F.lit(s)) for n, s in zip(names, self.shares)]
+        def share(s: float):
+            return lambda v: v * F.lit(s)  # of one argument: a second one would be the index
+
+        votes = [F.transform(vector_to_array(n), share(s)) for n, s in zip(names, self.shares)]
         total = functools.reduce(lambda a, b: F.zip_with(a, b, lambda v, w: v + w), votes)
         x = x.withColumn("_p", total).drop(*names)
         x = x.withColumn("prediction", (F.array_position("_p", F.array_max("_p")) - 1).cast("double"))
