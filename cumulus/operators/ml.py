@@ -443,6 +443,36 @@ def _c_factor(n: int) -> float:
     return 2.0 * (math.log(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n
 
 
+def _hash_long(value, seed):
+    """Spark's xxhash64 of a long after what ``seed`` is the hash of, over uint64 arrays."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                                                 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turned(x, r):
+        return (x << np.uint64(r)) | (x >> np.uint64(64 - r))
+
+    h = (seed + (p5 + np.uint64(8))) ^ (turned(value * p2, 31) * p1)
+    h = turned(h, 27) * p1 + p4
+    h ^= h >> np.uint64(33)
+    h *= p2
+    h ^= h >> np.uint64(29)
+    h *= p3
+    return h ^ (h >> np.uint64(32))
+
+
+def _drawn(n_trees: int, share: int):
+    """Whether any tree draws a row: pmod(xxhash64(row, tree), 10^9) < share for some tree."""
+    @F.pandas_udf(T.BooleanType())
+    def some(row: pd.Series) -> pd.Series:
+        with np.errstate(over="ignore"):
+            own = _hash_long(row.to_numpy().astype(np.int64).view(np.uint64), np.uint64(42))
+            out = np.zeros(len(own), dtype=bool)
+            for t in range(n_trees):
+                out |= _hash_long(np.full(1, t, dtype=np.uint64), own).view(np.int64) % 1_000_000_000 < share
+        return pd.Series(out)
+    return some
+
+
 def isolation_forest(df: DataFrame, cols: list[str], n_trees: int = 100, sample: int = 256,
                      contamination: float = 0.05, seed: int = SEED, keys: list[str] | None = None) -> DataFrame:
     """Isolation forest: each tree is grown in a grouped map from at most
@@ -462,8 +492,11 @@ def isolation_forest(df: DataFrame, cols: list[str], n_trees: int = 100, sample:
     row = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
     draws = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n_trees - 1).cast("long")), lambda t: F.struct(
         t.alias("tree"), F.pmod(F.xxhash64(F.col("_row"), t), F.lit(1_000_000_000)).alias("h")))
-    cand = (df.select(*cols, row.alias("_row"))
-            .withColumn("_d", F.explode(F.filter(draws, lambda d: d["h"] < share)))
+    rows = df.select(*cols, row.alias("_row"))
+    if share < 1_000_000_000:
+        # few rows are drawn: they are found a batch at a time, tree by tree below
+        rows = rows.where(_drawn(n_trees, share)("_row"))
+    cand = (rows.withColumn("_d", F.explode(F.filter(draws, lambda d: d["h"] < share)))
             .select(*cols, F.col("_d.tree").alias("tree"), F.col("_d.h").alias("_h")))
     depth_limit = int(math.ceil(math.log2(max(psi, 2))))
     schema = "tree long, node long, feature int, split double, left long, right long, size long"
@@ -496,38 +529,34 @@ def isolation_forest(df: DataFrame, cols: list[str], n_trees: int = 100, sample:
 
     # the forest is at most n_trees * (2 * psi - 1) nodes: a bounded broadcast
     forest = cand.groupBy("tree").applyInPandas(grow, schema).toPandas()
+    cfac = np.array([_c_factor(i) for i in range(psi + 2)])
     arrays = []
     for _, g in forest.groupby("tree"):
         m = int(g["node"].max()) + 1
-        feat, split = np.full(m, -1), np.zeros(m)
-        left, right, size = np.zeros(m, dtype=int), np.zeros(m, dtype=int), np.zeros(m, dtype=int)
-        idx = g["node"].to_numpy()
-        feat[idx], split[idx] = g["feature"].to_numpy(), g["split"].to_numpy()
-        left[idx], right[idx], size[idx] = g["left"].to_numpy(), g["right"].to_numpy(), g["size"].to_numpy()
-        arrays.append((feat, split, left, right, size))
+        feat, split, height = np.zeros(m, dtype=int), np.zeros(m), np.zeros(m)
+        after = np.repeat(np.arange(m), 2).reshape(m, 2)  # children; a leaf is its own
+        g = g.sort_values("node")
+        for node, f, at, left, right in zip(g["node"], g["feature"], g["split"], g["left"], g["right"]):
+            if f >= 0:  # children have higher numbers
+                feat[node], split[node], after[node] = f, at, (left, right)
+                height[left] = height[right] = height[node] + 1
+        size, leaf = g["size"].to_numpy(), g["feature"].to_numpy() < 0
+        path = height + np.where(leaf, cfac[np.minimum(size, len(cfac) - 1)], 0.0)
+        arrays.append((feat, split, after.ravel(), path, int(height.max())))
     cpsi = _c_factor(psi)
-    cfac = np.array([_c_factor(i) for i in range(psi + 2)])
-    bc = spark.sparkContext.broadcast((arrays, cfac))
+    bc = spark.sparkContext.broadcast(arrays)
 
     @F.pandas_udf(T.DoubleType())
     def score(*cols_in: pd.Series) -> pd.Series:
         X = np.column_stack([a.to_numpy(dtype="float64") for a in cols_in])
-        trees_, cf = bc.value
-        rows = np.arange(len(X))
+        trees_, flat = bc.value, X.ravel()
+        first = np.arange(len(X)) * X.shape[1]
         total = np.zeros(len(X))
-        for feat, split, left, right, size in trees_:
+        for feat, split, after, path, height in trees_:
             node = np.zeros(len(X), dtype=int)
-            depth = np.zeros(len(X))
-            while True:
-                f = feat[node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                xv = X[rows, np.where(inner, f, 0)]
-                nxt = np.where(xv < split[node], left[node], right[node])
-                node = np.where(inner, nxt, node)
-                depth += inner
-            total += depth + cf[np.minimum(size[node], len(cf) - 1)]
+            for _ in range(height):
+                node = after[2 * node + ~(flat[first + feat[node]] < split[node])]
+            total += path[node]
         mean_path = total / max(len(trees_), 1)
         return pd.Series(np.power(2.0, -mean_path / cpsi) if cpsi > 0 else np.zeros(len(X)))
 
@@ -545,6 +574,9 @@ def temp_forecast(df: DataFrame, col: str = "temperature", spec: SeriesSpec = DE
     training rows, a model fitted on a 0.1-per-step ramp from 20."""
     lags = W.ar_lags(df, col, 3, spec=spec)
     feats = ["lag_3", "lag_2", "lag_1"]
+    # stored once, as narrow as it is used: the check, the fit and the callers all read it
+    checkpoint_dir(df.sparkSession)
+    lags = lags.select(*spec.keys, spec.ts, *feats, col).checkpoint()
     train = lags.select(*feats, F.col(col).alias("target"))
     if train.limit(1).count() == 0:
         spark = df.sparkSession
