@@ -55,6 +55,12 @@ def test_rows_without_a_label_are_an_error(spark):
         ML.grow_forest(table(spark, 50).where("id < 0"), COLS, "y", 2, 3, 1)
 
 
+def test_rows_without_a_value_are_an_error(spark):
+    for odd in (None, float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            ML.grow_forest(table(spark, 50).withColumn("b", F.when(F.col("id") == 7, F.lit(odd)).otherwise(F.col("b"))), COLS, "y", 2, 3, 1)
+
+
 def test_splits_are_the_best_ones():
     rng = np.random.default_rng(3)
     n, nodes, classes = 900, 40, 3
